@@ -23,6 +23,7 @@ import math
 import re
 import uuid
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -94,6 +95,22 @@ class WindowAutomaton:
 
 _BUILT: dict[str, WindowAutomaton] = {}
 
+
+def _automaton(tag: str, shared) -> WindowAutomaton:
+    """The automaton of a broadcast, built once per worker process."""
+    if tag not in _BUILT:
+        _BUILT.clear()
+        _BUILT[tag] = WindowAutomaton(shared.value)
+    return _BUILT[tag]
+
+
+def _items(benchmark: DataFrame) -> DataFrame:
+    return benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("binary").alias("_utf8")).where("_utf8 is not null and item_id is not null")
+
+
+def _size(items: DataFrame) -> int:
+    return items.agg(F.sum(F.octet_length("_utf8"))).first()[0] or 0
+
 _SPANS = "array<struct<start:int,end:int>>"
 
 
@@ -115,10 +132,7 @@ def _scan(docs: DataFrame, windows: dict, carried: bool) -> DataFrame:
     )
 
     def run(batches):
-        if tag not in _BUILT:
-            _BUILT.clear()
-            _BUILT[tag] = WindowAutomaton(shared.value)
-        automaton = _BUILT[tag]
+        automaton = _automaton(tag, shared)
         for b in batches:
             raws = b.column("_utf8").to_pylist()
             old_runs, old_items = (b.column(c).to_pylist() if carried else [[]] * len(raws) for c in ("runs", "items"))
@@ -163,9 +177,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
 
     ``contaminated`` holds where at least one word in ``one_in`` lies inside a window.
     """
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("binary").alias("_utf8")).where("_utf8 is not null and item_id is not null")
-    size = items.agg(F.sum(F.octet_length("_utf8"))).first()[0] or 0
-    groups = max(1, math.ceil(size / max_bytes))
+    items = _items(benchmark)
+    groups = max(1, math.ceil(_size(items) / max_bytes))
     at = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("_utf8"))
     for g in range(groups):
         part = items if groups == 1 else items.where(F.pmod(F.xxhash64("item_id", "_utf8"), F.lit(groups)) == g)
@@ -175,7 +188,25 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     return _finish(at, one_in)
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated, with all their columns; ids are taken as unique."""
-    bad = find_contamination(docs.select("doc_id", "text"), benchmark, **options).where("contaminated").select("doc_id")
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, one_in: int = 20, max_bytes: int = MAX_BYTES) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, with all their columns.
+
+    With one automaton the texts are read once and nothing is shuffled. A benchmark over ``max_bytes``
+    needs a scan per group; its hits meet the rows again by id, and rows without an id are kept.
+    """
+    items = _items(benchmark)
+    if _size(items) > max_bytes:
+        found = find_contamination(docs.select("doc_id", "text"), benchmark, window, one_in, max_bytes)
+        return docs.join(found.where("contaminated").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    shared, tag = docs.sparkSession.sparkContext.broadcast(windows_of([tuple(r) for r in items.collect()], window)), uuid.uuid4().hex
+
+    @F.pandas_udf("boolean")
+    def clean(texts: pd.Series) -> pd.Series:
+        automaton, out = _automaton(tag, shared), []
+        for raw in texts.tolist():
+            words = words_of(raw)
+            hit = sum(e - a for a, e in automaton.scan(words)[0])
+            out.append(not (hit > 0 and one_in * hit >= len(words)))
+        return pd.Series(out, dtype=bool)
+
+    return docs.where(clean(F.col("text").cast("binary")))

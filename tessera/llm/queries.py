@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, packing, sharding, token_output
+from tessera.llm import decontaminate, embedding_dedup, packing, quality, secrets, sharding, token_counts, token_output, toxicity
 
 
 def _tokenizer(name: str) -> str:
@@ -28,11 +28,31 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), with_ids=False)
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.detect(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.shard_digest(sharding.shuffle_rows(docs))
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_digest(secrets.find_secrets(_table(spark, sf_dir, "documents")))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.write_and_read(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
 
@@ -41,7 +61,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontamination": op1_decontamination,
         "op2_packing": op2_packing,
+        "op3_token_counts": op3_token_counts,
+        "op5_toxicity": op5_toxicity,
         "op6_sharding": op6_sharding,
+        "op7_embedding_dedup": op7_embedding_dedup,
+        "op8_secrets": op8_secrets,
+        "op9_quality": op9_quality,
         "op10_token_output": op10_token_output,
     }
 
