@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, embedding_dedup, packing, quality, secrets, sharding, token_counts, token_output, toxicity
+from tessera.llm import decontaminate, embedding_dedup, ngram_join, packing, quality, secrets, sharding, token_counts, token_output, toxicity
 
 
-def _tokenizer(name: str) -> str:
+def public_tokenizer(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -25,11 +25,15 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), with_ids=False)
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizer("byte_bpe_50k.json"), with_ids=False)
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizer("byte_bpe_50k.json"))
+
+
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"), width=3, percent=90)
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +58,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_output.write_and_read(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
+    return token_output.write_and_read(_table(spark, sf_dir, "documents"), public_tokenizer("word_bpe_49k.json"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -62,6 +66,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_decontamination": op1_decontamination,
         "op2_packing": op2_packing,
         "op3_token_counts": op3_token_counts,
+        "op4_ngram_join": op4_ngram_join,
         "op5_toxicity": op5_toxicity,
         "op6_sharding": op6_sharding,
         "op7_embedding_dedup": op7_embedding_dedup,
