@@ -1,14 +1,52 @@
-"""A training-data pipeline over ``documents``."""
+"""A training-data pipeline over ``documents``: good, distinct, decontaminated, redacted and packed.
+
+Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; what it returns is
+written as Parquet and reread by the next. All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.llm import decontaminate, ngram_join, packing, quality, secrets
+from tessera.llm.queries import public_tokenizer
 from tessera.session import materialize
 
-STAGES: list = []
 
-#: Tokenizers and boosted trees have no SQL form; the stages are tested against brute-force versions.
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that the classifier rejects."""
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near-duplicates (five-word shingles, similarity 0.8 or more)."""
+    return ngram_join.keep_one(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents of which at least one word in twenty lies in a benchmark window."""
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces every secret by a mark; no document goes."""
+    return secrets.redact(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of full windows, with their ids."""
+    return packing.pack(docs, public_tokenizer("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("n-gram Jaccard join", ngram_jaccard_join),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("secret scans", secret_scans),
+    ("packing", packed),
+]
+
+#: Boosted trees and tokenizers have no SQL form; the stages are tested against brute-force versions.
 ORACLE_SQL = None
 
 
@@ -18,5 +56,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
-            docs = materialize(docs, name.replace(" ", "_"))
+            docs = materialize(docs, name.replace(" ", "-"))
     return docs
