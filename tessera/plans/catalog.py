@@ -1,10 +1,565 @@
-"""The registered queries of the engine and their SQL."""
+"""The registered queries of the engine and the SQL that must give the same rows."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessera.config import Chunking, Seen
+from tessera.functions import dates, html, keys
+from tessera.functions import text as text_fn
+from tessera.operators import chunk, dedup, normalize, publish, resume, search, status, throttle, vectors
+from tessera.plans.fixtures import BASE_URL, DECISIONS, INDEX, REQUESTS, RESPONSES, mapped, shaped, table
+from tessera.session import scratch_path
+from tessera.sources import index as index_source
+from tessera.streaming.publish import Publisher, dedup_stream, publish_available
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
+
+# What both sides share in SQL form.
+_EDGE = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
+
+def _strip(sql: str) -> str:
+    return f"regexp_replace({sql}, '^{_EDGE}+|{_EDGE}+$', '', 'g')"
+
+
+_NL = "chr(10)"
+_ISO = (
+    "CASE WHEN kararTarihi <> '' THEN CASE WHEN regexp_matches(" + _strip("kararTarihi") + r", '^\d{2}\.\d{2}\.\d{4}$') THEN regexp_replace("
+    + _strip("kararTarihi") + r", '^(\d{2})\.(\d{2})\.(\d{4})$', '\3-\2-\1') ELSE kararTarihi END END"
+)
+_KEY = (
+    "CASE WHEN nullif(esas_no, '') IS NOT NULL AND nullif(karar_no, '') IS NOT NULL THEN kaynak || ':' || esas_no || ':' || karar_no "
+    "WHEN nullif(mevzuat_no, '') IS NOT NULL THEN kaynak || ':' || mevzuat_no ELSE kaynak || ':' || url END"
+)
+_RAW = f"""raw AS (SELECT line_no, kaynak || ':' || id AS id, kaynak, '{BASE_URL}/arama/getDokuman?id=' || id AS url, {_strip('text')} AS text, esasNo AS esas_no,
+  kararNo AS karar_no, daireKurul AS daire, {_ISO} AS karar_tarihi, mevzuatNo AS mevzuat_no FROM idx WHERE {_strip('text')} <> '')"""
+_WITH = f"WITH idx AS ({INDEX})"
+_WITH_RAW = f"{_WITH}, {_RAW}"
+_DEC = f"WITH dec AS ({DECISIONS})"
+_REQ = f"WITH req AS ({REQUESTS})"
+
+
+def _query(name: str, sql: str | None = None):
+    def add(f: Callable[[SparkSession, str], DataFrame]):
+        QUERIES[name] = f
+        if sql is not None:
+            SQL[name] = sql
+        return f
+
+    return add
+
+
+def _index(spark: SparkSession, d: str) -> DataFrame:
+    return mapped(spark, d, INDEX, "documents")
+
+
+def _raw(spark: SparkSession, d: str) -> DataFrame:
+    """Raw documents with their line number."""
+    return normalize.raw_documents(_index(spark, d), BASE_URL, F.col("kaynak"), keep=("line_no",))
+
+
+def _decisions(spark: SparkSession, d: str) -> DataFrame:
+    return mapped(spark, d, DECISIONS, "orders")
+
+
+def _requests(spark: SparkSession, d: str) -> DataFrame:
+    return mapped(spark, d, REQUESTS, "events")
+
+
+# Pure functions ---------------------------------------------------------------------------------
+
+_TAGS = r"(?:<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->|<[^>]*>)+"
+_PAGE = f"regexp_replace(html, '{_TAGS}', {_NL}, 'gis')"
+for _entity, _char in (("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">")):
+    _PAGE = f"replace({_PAGE}, '{_entity}', '{_char}')"
+_PAGE = f"regexp_replace(regexp_replace({_PAGE}, '&amp;?', '&', 'g'), '\\n{{3,}}', {_NL} || {_NL}, 'g')"
+
+
+@_query("html_to_text", f"SELECT page_id, {_strip(_PAGE)} AS text FROM pages")
+def html_to_text(spark, d):
+    return table(spark, d, "pages").select("page_id", html.page_text(F.col("html")).alias("text"))
+
+
+@_query("html_dom_text", f"SELECT page_id, {_strip(_PAGE)} AS text FROM pages")
+def html_dom_text(spark, d):
+    return table(spark, d, "pages").select("page_id", html.dom_text_udf("html").alias("text"))
+
+
+@_query(
+    "html_branch_select",
+    "SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'Page ' || page_id || chr(10) || ' & more' WHEN 1 THEN 'Body ' || page_id ELSE 'Whole ' || page_id END AS text FROM pages",
+)
+def html_branch_select(spark, d):
+    n = F.col("page_id").cast("string")
+    page = (
+        F.when(F.col("page_id") % 3 == 0, F.concat(F.lit('<html><p id="hiddencontent">&lt;b&gt;Page '), n, F.lit('&lt;/b&gt; &amp;amp; more</p><div id="content">no</div></html>')))
+        .when(F.col("page_id") % 3 == 1, F.concat(F.lit('<html><div id="content"><i>Body '), n, F.lit("</i><script>x</script></div><p>after</p></html>")))
+        .otherwise(F.concat(F.lit("<p>Whole "), n, F.lit("</p>")))
+    )
+    return table(spark, d, "pages").select("page_id", html.dom_text_udf(page).alias("text"))
+
+
+_RAGGED = "chr(160) || chr(10) || left(text, 40) || repeat(chr(10), CAST(2 + doc_id % 4 AS INT)) || 'end' || chr(9) || chr(8232)"
+
+
+@_query("strip_collapse", f"SELECT doc_id, {_strip('regexp_replace(' + _RAGGED + ', ' + chr(39) + chr(92) + 'n{3,}' + chr(39) + ', chr(10) || chr(10), ' + chr(39) + 'g' + chr(39) + ')')} AS text FROM documents")
+def strip_collapse(spark, d):
+    ragged = F.concat(F.lit(" \n"), F.left("text", F.lit(40)), F.repeat(F.lit("\n"), (2 + F.col("doc_id") % 4).cast("int")), F.lit("end\t "))
+    return table(spark, d, "documents").select("doc_id", text_fn.strip(text_fn.collapse_breaks(ragged)).alias("text"))
+
+
+@_query("iso_date", f"{_WITH} SELECT id, {_ISO} AS iso FROM idx")
+def iso_date(spark, d):
+    return _index(spark, d).select("id", dates.iso_date(F.col("kararTarihi")).alias("iso"))
+
+
+@_query("natural_key", f"{_WITH_RAW} SELECT id, {_KEY} AS key FROM raw")
+def natural_key(spark, d):
+    return _raw(spark, d).select("id", normalize.document_key().alias("key"))
+
+
+@_query(
+    "header_format",
+    f"{_WITH} SELECT id, coalesce(daireKurul, 'None') || ' | E: ' || coalesce(esasNo, 'None') || ' K: ' || coalesce(kararNo, 'None') || ' | ' || coalesce(kararTarihi, 'None') "
+    f"|| {_NL} || repeat('=', 60) || {_NL} || {_NL} || left(text, 30) AS page FROM idx",
+)
+def header_format(spark, d):
+    rows = _index(spark, d)
+    return rows.select("id", text_fn.header(F.left("text", F.lit(30)), *(F.col(c) for c in ("daireKurul", "esasNo", "kararNo", "kararTarihi"))).alias("page"))
+
+
+_SECONDS = "CAST(o_orderkey * 7 % 9000 AS BIGINT)"
+
+
+@_query(
+    "fmt_wait",
+    f"SELECT o_orderkey AS id, CASE WHEN {_SECONDS} >= 3600 THEN ({_SECONDS} // 3600) || 'h' WHEN {_SECONDS} >= 60 THEN ({_SECONDS} // 60) || ' min' ELSE {_SECONDS} || 's' END AS wait FROM orders",
+)
+def fmt_wait(spark, d):
+    return table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), text_fn.wait_label(F.col("o_orderkey") * 7 % 9000).alias("wait"))
+
+
+_PHRASE = "left(replace(text, chr(10), ' '), 25) || ' a/b?c=~d*(e)'"
+
+
+@_query("url_quote", f"SELECT doc_id, replace(replace(url_encode({_PHRASE}), '%2F', '/'), '%7E', '~') AS quoted FROM documents")
+def url_quote(spark, d):
+    phrase = F.concat(F.left(F.replace("text", F.lit("\n"), F.lit(" ")), F.lit(25)), F.lit(" a/b?c=~d*(e)"))
+    return table(spark, d, "documents").select("doc_id", text_fn.url_quote(phrase).alias("quoted"))
+
+
+@_query(
+    "message_parts",
+    "SELECT event_id, coalesce(message LIKE '%reCaptcha%' OR message LIKE '%Captcha%', false) AS challenge, left(repeat('x' || event_id, 60), 200) AS cut, "
+    "'host' || event_id AS host, CAST(9000 + event_id % 7 AS INT) AS port, 'u' || event_id AS username FROM (" + RESPONSES + ")",
+)
+def message_parts(spark, d):
+    rows, n = mapped(spark, d, RESPONSES, "events"), F.col("event_id").cast("string")
+    address = text_fn.host_port(F.concat(F.lit("host"), n, F.lit(":"), (9000 + F.col("event_id") % 7).cast("string")))
+    conf = text_fn.settings(F.concat(F.lit("# access\nusername=u"), n, F.lit("\npassword=a=b\nusername=second")))
+    return rows.select("event_id", text_fn.is_challenge(F.col("message")).alias("challenge"), F.left(F.repeat(F.concat(F.lit("x"), n), 60), F.lit(200)).alias("cut"),
+                       address["host"].alias("host"), address["port"].alias("port"), conf["username"].alias("username"))
+
+
+# Search -----------------------------------------------------------------------------------------
+
+_TOKENS = r"string_split_regex(lower(text), '[^\p{L}\p{N}]+')"
+
+
+def _has(word: str) -> str:
+    return f"list_contains({_TOKENS}, '{word}')"
+
+
+def _keywords(**lists):
+    return lambda spark, d: table(spark, d, "documents").where(search.keyword_predicate(F.col("text"), **lists)).select("doc_id", "source")
+
+
+_query("keyword_and", f"SELECT doc_id, source FROM documents WHERE {_has('the')} AND {_has('was')}")(_keywords(all_of=["the", "was"]))
+_query("keyword_or", f"SELECT doc_id, source FROM documents WHERE {_has('idiot')} OR {_has('und')}")(_keywords(any_of=["idiot", "UND"]))
+_query("keyword_not", f"SELECT doc_id, source FROM documents WHERE NOT ({_has('the')} OR {_has('de')})")(_keywords(none_of=["the", "de"]))
+_query("keyword_combined", f"SELECT doc_id, source FROM documents WHERE {_has('the')} AND ({_has('was')} OR {_has('by')}) AND NOT {_has('trash')} AND NOT ({_has('it')} AND {_has('on')})")(
+    _keywords(all_of=["The"], any_of=["was", "by"], none_of=["trash"], not_all_of=["it", "on"])
+)
+
+
+def _criteria(columns=("id",), **criteria):
+    return lambda spark, d: _decisions(spark, d).where(search.criteria_predicate(**criteria)).select(*columns)
+
+
+_query("eq_filter", f"{_DEC} SELECT id, chamber FROM dec WHERE chamber = 'chamber 3' AND case_year = 1995")(_criteria(("id", "chamber"), chamber="chamber 3", case_year=1995))
+_query("number_range", f"{_DEC} SELECT id, case_no, decision_no FROM dec WHERE case_no BETWEEN 100 AND 900 AND decision_no <= 650")(
+    _criteria(("id", "case_no", "decision_no"), case_from=100, case_to=900, decision_to=650)
+)
+_query("date_range", f"{_DEC} SELECT id, decided FROM dec WHERE decided BETWEEN DATE '1996-02-01' AND DATE '1996-12-31'")(_criteria(("id", "decided"), from_day="01.02.1996", to_day="31.12.1996"))
+_query("statute_filter", f"{_DEC} SELECT id FROM dec WHERE statute_no = '17' AND contains(statute_name, 'I') AND article = '17'")(_criteria(statute_no="17", statute_name="I", article=17))
+_query("optional_predicates", f"{_DEC} SELECT id FROM dec WHERE decision_year = 1997")(_criteria(chamber="", case_year=0, decision_year=1997, case_from=None))
+
+
+def _ordered_ids(code: int, direction: str):
+    return lambda spark, d: search.ordered(_decisions(spark, d).where("chamber = 'chamber 1'"), code, direction).limit(100).select("id", "decided")
+
+
+_query("sort_asc", f"{_DEC} SELECT id, decided FROM dec WHERE chamber = 'chamber 1' ORDER BY dec.decided, id LIMIT 100")(_ordered_ids(3, "asc"))
+_query("sort_desc", f"{_DEC} SELECT id, decided FROM dec WHERE chamber = 'chamber 1' ORDER BY case_order DESC, id LIMIT 100")(_ordered_ids(1, "desc"))
+
+
+@_query("page_n", f"{_DEC} SELECT id, decided FROM dec ORDER BY dec.decided DESC, id LIMIT 50 OFFSET 150")
+def page_n(spark, d):
+    return search.page(search.ordered(_decisions(spark, d)), 4, 50).select("id", "decided")
+
+
+@_query("preview3", f"{_DEC} SELECT id, decided FROM dec WHERE decision_year = 1998 ORDER BY dec.decided DESC, id LIMIT 3")
+def preview3(spark, d):
+    return search.page(search.ordered(_decisions(spark, d).where(search.criteria_predicate(decision_year=1998))), 1, 3).select("id", "decided")
+
+
+@_query("totals", f"{_DEC} SELECT count(*) AS records_total, count(*) FILTER (WHERE decision_year = 1998) AS records_filtered FROM dec")
+def totals(spark, d):
+    return search.totals(_decisions(spark, d), search.criteria_predicate(decision_year=1998))
+
+
+@_query(
+    "year_partitions",
+    f"{_DEC}, n AS (SELECT decision_year AS year, count(*) AS n FROM dec GROUP BY 1) SELECT y.year, '01.01.' || y.year AS first_day, '31.12.' || y.year AS last_day, "
+    "coalesce(n, 0) AS n, CAST(ceil(coalesce(n, 0) / 50.0) AS INT) AS pages FROM (SELECT CAST(unnest(generate_series(2001, 1992, -1)) AS INT) AS year) y LEFT JOIN n USING (year)",
+)
+def year_partitions(spark, d):
+    years = spark.sql("SELECT explode(sequence(2001, 1992, -1)) AS year")
+    counted = _decisions(spark, d).groupBy(F.col("decision_year").alias("year")).agg(F.count("*").alias("n"))
+    first, last = dates.year_bounds(F.col("year"))
+    n = F.coalesce("n", F.lit(0))
+    return years.join(counted, "year", "left").select("year", first.alias("first_day"), last.alias("last_day"), n.alias("n"), F.size(search.page_numbers(n, 50)).alias("pages"))
+
+
+# Resuming ---------------------------------------------------------------------------------------
+
+
+def _done(spark, d):
+    return resume.known_ids(table(spark, d, "labels").select(F.col("doc_id").alias("id")))
+
+
+@_query("known_ids", "SELECT DISTINCT CAST(doc_id AS VARCHAR) AS id FROM labels WHERE doc_id IS NOT NULL")
+def known_ids(spark, d):
+    return _done(spark, d)
+
+
+@_query("resume_anti", f"{_WITH} SELECT id, daireKurul FROM idx WHERE id NOT IN (SELECT CAST(doc_id AS VARCHAR) FROM labels)")
+def resume_anti(spark, d):
+    return resume.not_yet_done(_index(spark, d), _done(spark, d)).select("id", "daireKurul")
+
+
+@_query("limit_new_only", f"{_WITH} SELECT id, line_no FROM idx WHERE id NOT IN (SELECT CAST(doc_id AS VARCHAR) FROM labels) ORDER BY line_no LIMIT 40")
+def limit_new_only(spark, d):
+    return resume.new_rows(_index(spark, d), _done(spark, d), "id", [F.col("line_no")], 40).select("id", "line_no")
+
+
+@_query("crawl_meta", f"{_WITH} SELECT CAST(1700000000 AS BIGINT) AS ts, id, 'keyword: a' AS crawl_desc FROM idx WHERE id NOT IN (SELECT CAST(doc_id AS VARCHAR) FROM labels)")
+def crawl_meta(spark, d):
+    return normalize.crawl_meta(resume.not_yet_done(_index(spark, d), _done(spark, d)), "keyword: a", F.lit(1_700_000_000))
+
+
+@_query("text_semi", f"{_WITH} SELECT id, length(idx.text) AS n FROM idx WHERE id IN (SELECT CAST(doc_id AS VARCHAR) FROM labels)")
+def text_semi(spark, d):
+    rows = _index(spark, d)
+    texts = rows.select("id", "text").join(_done(spark, d), "id", "left_semi")
+    return resume.with_text(rows.drop("text"), texts).select("id", F.length("text").cast("long").alias("n"))
+
+
+@_query("missing_text", f"{_WITH} SELECT count(*) AS missing FROM idx WHERE id NOT IN (SELECT CAST(doc_id AS VARCHAR) FROM labels)")
+def missing_text(spark, d):
+    return resume.missing_text(_index(spark, d), _done(spark, d)).agg(F.count("*").alias("missing"))
+
+
+@_query("page_lookup", "SELECT d.doc_id AS id, coalesce(length(p.html), 0) AS n FROM documents d LEFT JOIN pages p ON p.page_id = d.doc_id")
+def page_lookup(spark, d):
+    pages = table(spark, d, "pages").select(F.col("page_id").alias("id"), "html")
+    return resume.fetched(table(spark, d, "documents").select(F.col("doc_id").alias("id")), pages).select("id", F.length("html").cast("long").alias("n"))
+
+
+@_query("append_union", "SELECT CAST(doc_id AS VARCHAR) AS id, count(*) AS n FROM (SELECT doc_id FROM documents UNION ALL SELECT doc_id FROM labels) GROUP BY 1")
+def append_union(spark, d):
+    old = table(spark, d, "labels").select(F.col("doc_id").cast("string").alias("id"))
+    return old.unionByName(table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("id"))).groupBy("id").agg(F.count("*").alias("n"))
+
+
+# Index lines ------------------------------------------------------------------------------------
+
+_LINES = """SELECT doc_id AS line_no, CASE WHEN doc_id % 10 = 3 THEN '   ' WHEN doc_id % 10 = 7 THEN '{"id": ' || doc_id
+  WHEN doc_id % 10 = 5 THEN '{"id": ' || doc_id || '}' ELSE '{"id": "' || doc_id || '", "daireKurul": "' || source || '"}' END AS value FROM documents"""
+
+
+def _lines(spark, d):
+    return mapped(spark, d, _LINES, "documents")
+
+
+@_query("jsonl_scan", "SELECT doc_id AS line_no, CAST(doc_id AS VARCHAR) AS id, CASE WHEN doc_id % 10 <> 5 THEN source END AS daire FROM documents WHERE doc_id % 10 NOT IN (3, 7)")
+def jsonl_scan(spark, d):
+    parsed = index_source.parse_lines(_lines(spark, d).where(F.trim("value") != ""))
+    return parsed.where("_corrupt_record is null and id is not null").select("line_no", "id", F.col("daireKurul").alias("daire"))
+
+
+@_query("row_cap", "SELECT doc_id AS line_no FROM documents WHERE doc_id >= 100 AND doc_id <= 124 AND doc_id % 10 <> 3")
+def row_cap(spark, d):
+    """From line 100, at most 24 physical lines; the last of them is blank, so one more line is taken."""
+    return resume.lines_window(_lines(spark, d), 100, 24).select("line_no")
+
+
+@_query("incremental_offset", "SELECT CAST(100 AS BIGINT) AS start, max(doc_id) + 1 AS next FROM documents WHERE doc_id >= 100 AND doc_id % 10 NOT IN (3, 7)")
+def incremental_offset(spark, d):
+    start = index_source.read_offset(" 100\n")
+    rows = jsonl_scan(spark, d).where(F.col("line_no") >= start)
+    return rows.agg(F.lit(start).cast("long").alias("start"), (F.max("line_no") + 1).alias("next"))
+
+
+@_query("envelope_rows", "SELECT doc_id AS page, CAST(doc_id AS BIGINT) AS records_total, CAST(0 AS BIGINT) AS records_filtered, CASE WHEN doc_id % 3 <> 0 THEN 'r' || doc_id END AS id FROM documents")
+def envelope_rows(spark, d):
+    n = F.col("doc_id").cast("string")
+    payload = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit('{"data": {"recordsTotal": '), n, F.lit("}}"))).otherwise(
+        F.concat(F.lit('{"data": {"data": [{"id": "r'), n, F.lit('"}], "recordsTotal": '), n, F.lit("}}"))
+    )
+    return normalize.rows_of(table(spark, d, "documents").select(F.col("doc_id").alias("page"), payload.alias("payload"))).select("page", "records_total", "records_filtered", "id")
+
+
+@_query("strict_types", "SELECT doc_id, doc_id % 3 <> 1 AS valid FROM documents")
+def strict_types(spark, d):
+    """Numbers are not taken for texts."""
+    payload = F.when(F.col("doc_id") % 3 == 0, F.lit('{"esasNo": "2000/1"}')).when(F.col("doc_id") % 3 == 1, F.lit('{"esasNo": 5}')).otherwise(F.lit("{}"))
+    return table(spark, d, "documents").select("doc_id", normalize.strict_texts(payload, ["esasNo", "kararNo"]).alias("valid"))
+
+
+# Raw documents and publishing -------------------------------------------------------------------
+
+
+@_query("raw_document", f"{_WITH_RAW} SELECT id, kaynak, url, length(text) AS n, esas_no, karar_no, daire, karar_tarihi, mevzuat_no, CAST(line_no AS VARCHAR) AS doc_id FROM raw")
+def raw_document(spark, d):
+    return _raw(spark, d).select("id", "kaynak", "url", F.length("text").cast("long").alias("n"), "esas_no", "karar_no", "daire", "karar_tarihi", "mevzuat_no", F.col("metadata.doc_id").alias("doc_id"))
+
+
+_CHECKED = f"{_WITH_RAW}, bad AS (SELECT *, CASE WHEN line_no % 10 = 0 THEN 'unknown' ELSE kaynak END AS k2, CASE WHEN line_no % 10 = 1 THEN NULL ELSE url END AS u2 FROM raw)"
+_ERROR = "CASE WHEN k2 = 'unknown' THEN 'kaynak is not a known source' WHEN u2 IS NULL THEN 'url is missing' END"
+
+
+def _spoiled(spark, d):
+    n = F.col("line_no") % 10
+    return _raw(spark, d).withColumns({"kaynak": F.when(n == 0, "unknown").otherwise(F.col("kaynak")), "url": F.when(n != 1, F.col("url"))})
+
+
+@_query("validate_split", f"{_CHECKED} SELECT id, {_ERROR} IS NULL AS valid FROM bad")
+def validate_split(spark, d):
+    valid, invalid = normalize.split_valid(_spoiled(spark, d))
+    return valid.select("id", F.lit(True).alias("valid")).unionByName(invalid.select("id", F.lit(False).alias("valid")))
+
+
+@_query("dlq_rows", f"{_CHECKED} SELECT 'legal.dlq' AS topic, CAST(NULL AS VARCHAR) AS key, id, {_ERROR} AS error FROM bad WHERE {_ERROR} IS NOT NULL")
+def dlq_rows(spark, d):
+    rows = publish.dead_letters(normalize.split_valid(_spoiled(spark, d))[1])
+    return rows.select("topic", "key", F.get_json_object("value", "$.id").alias("id"), F.get_json_object("value", "$._dlq_error").alias("error"))
+
+
+@_query("topic_route", f"{_WITH_RAW} SELECT 'legal.' || kaynak || '.raw' AS topic, 'legal.' || kaynak || '.chunked' AS chunk_topic, {_KEY} AS key, id, esas_no FROM raw")
+def topic_route(spark, d):
+    rows = _raw(spark, d)
+    sent = publish.messages(rows.drop("line_no"), normalize.document_key())
+    value = lambda n: F.get_json_object("value", f"$.{n}").alias(n)
+    return sent.select("topic", publish.chunk_topic_of(value("kaynak")).alias("chunk_topic"), "key", value("id"), value("esas_no"))
+
+
+_FIRST = f"{_WITH_RAW}, keyed AS (SELECT *, {_KEY} AS key FROM raw), ranked AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY line_no) AS r FROM keyed)"
+
+
+@_query("dedup_first_wins", f"{_FIRST} SELECT key, id, line_no FROM ranked WHERE r = 1")
+def dedup_first_wins(spark, d):
+    return dedup.first_wins(_raw(spark, d).withColumn("key", normalize.document_key()), "key", [F.col("line_no")]).select("key", "id", "line_no")
+
+
+_SEEN = "seen AS (SELECT DISTINCT key FROM keyed WHERE line_no % 3 = 0)"
+
+
+def _keyed(spark, d):
+    rows = _raw(spark, d).withColumn("key", normalize.document_key())
+    return rows, rows.where("line_no % 3 = 0").select("key").distinct()
+
+
+@_query("dedup_against_seen", f"{_FIRST}, {_SEEN} SELECT key, id FROM ranked WHERE r = 1 AND key NOT IN (SELECT key FROM seen)")
+def dedup_against_seen(spark, d):
+    return dedup.unseen(*_keyed(spark, d), "key", [F.col("line_no")]).select("key", "id")
+
+
+@_query("bloom_dedup")
+def bloom_dedup(spark, d):
+    return dedup.probably_unseen(*_keyed(spark, d), "key", [F.col("line_no")], Seen()).select("key", "id")
+
+
+@_query(
+    "outcome_counts",
+    f"{_FIRST} SELECT CASE WHEN line_no NOT IN (SELECT doc_id FROM labels) THEN 'missing' WHEN r = 1 THEN 'produced' ELSE 'skipped' END AS outcome, count(*) AS n FROM "
+    f"(SELECT line_no, row_number() OVER (PARTITION BY key, line_no IN (SELECT doc_id FROM labels) ORDER BY line_no) AS r FROM keyed) GROUP BY 1",
+)
+def outcome_counts(spark, d):
+    rows = _raw(spark, d).withColumn("key", normalize.document_key())
+    have = table(spark, d, "labels").select(F.col("doc_id").alias("line_no")).distinct()
+    there, missing = rows.join(have, "line_no", "left_semi"), rows.join(have, "line_no", "left_anti")
+    produced = dedup.first_wins(there.select("key", "line_no"), "key", [F.col("line_no")])
+    skipped = there.select("line_no").join(produced.select("line_no"), "line_no", "left_anti")
+    named = [f.select(F.lit(n).alias("outcome")) for n, f in (("missing", missing), ("produced", produced), ("skipped", skipped))]
+    return status.outcome_counts(named[0].unionByName(named[1]).unionByName(named[2]))
+
+
+# Chunks -----------------------------------------------------------------------------------------
+
+_CHUNKS = r"""WITH t AS (SELECT doc_id, list_filter(string_split_regex(text, '\s+'), lambda x: x <> '') AS toks FROM documents),
+  s AS (SELECT doc_id, toks, unnest(range(0, greatest(len(toks) - 64, 1), 448)) AS pos FROM t),
+  c AS (SELECT doc_id, pos, array_to_string(list_slice(toks, pos + 1, pos + 512), ' ') AS chunk_text FROM s WHERE least(len(toks) - pos, 512) >= 50)
+  SELECT @ FROM c"""
+
+
+@_query("chunk_windows", _CHUNKS.replace("@", "doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS INT) AS chunk_index, CAST(count(*) OVER (PARTITION BY doc_id) AS INT) AS total_chunks, md5(chunk_text) AS digest"))
+def chunk_windows(spark, d):
+    rows = chunk.chunk_windows(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
+    return rows.select("doc_id", "chunk_index", "total_chunks", F.md5(F.col("chunk_text").cast("binary")).alias("digest"))
+
+
+@_query("chunk_counts", _CHUNKS.replace("@", "doc_id, count(*) AS chunks") + " GROUP BY doc_id")
+def chunk_counts(spark, d):
+    return chunk.chunk_windows(table(spark, d, "documents").select("doc_id", "text"), "doc_id").groupBy("doc_id").agg(F.count("*").alias("chunks"))
+
+
+@_query(
+    "chunk_inherit",
+    _CHUNKS.replace("FROM documents)", "FROM raw)").replace("SELECT doc_id, list_filter", "SELECT id AS doc_id, list_filter").replace("WITH t AS", f"{_WITH_RAW}, t AS").replace("@",
+        "c.doc_id, CAST(row_number() OVER (PARTITION BY c.doc_id ORDER BY pos) - 1 AS INT) AS chunk_index, "
+        "sha256(c.doc_id || '#' || (row_number() OVER (PARTITION BY c.doc_id ORDER BY pos) - 1)) AS chunk_id, kaynak, esas_no, karar_no, daire, karar_tarihi, mevzuat_no, url"
+    ) + " JOIN raw ON raw.id = c.doc_id",
+)
+def chunk_inherit(spark, d):
+    rows = chunk.chunked_documents(_raw(spark, d), Chunking())
+    return rows.select("doc_id", "chunk_index", "chunk_id", "kaynak", "esas_no", "karar_no", "daire", "karar_tarihi", "mevzuat_no", "url")
+
+
+# Requests, throttle, status ---------------------------------------------------------------------
+
+
+@_query(
+    "response_classify",
+    f"SELECT event_id, CASE WHEN status IS NULL THEN 'network' WHEN status = 200 AND kind = 'ERROR' AND message LIKE '%aptcha%' THEN 'captcha' WHEN status = 200 AND kind = 'ERROR' THEN 'error' "
+    f"WHEN status = 200 THEN 'ok' WHEN status IN (429, 503) THEN 'backoff' ELSE 'http_error' END AS outcome FROM ({RESPONSES})",
+)
+def response_classify(spark, d):
+    rows = mapped(spark, d, RESPONSES, "events")
+    return rows.select("event_id", normalize.classify_response(F.col("status"), F.col("kind"), F.col("message")).alias("outcome"))
+
+
+@_query(
+    "retry_waits",
+    f"{_REQ} SELECT event_id, CASE WHEN outcome = 'captcha' THEN [60, 180, 600, 1800, 3600][1 + least(event_id % 6, 4)] WHEN outcome = 'backoff' THEN CAST(30 * (event_id % 4 + 1) AS INT) END AS wait FROM req",
+)
+def retry_waits(spark, d):
+    attempt = (F.col("event_id") % 4).cast("int")
+    return _requests(spark, d).select("event_id", throttle.wait_seconds(F.col("outcome"), attempt, (F.col("event_id") % 6).cast("int")).alias("wait"))
+
+
+@_query("clamp", "SELECT event_id, greatest(1.0, least(coalesce(CASE WHEN event_id % 9 <> 0 THEN CAST(event_id % 45 AS DOUBLE) END, 1.0), 30.0)) AS multiplier FROM events")
+def clamp(spark, d):
+    n = F.col("event_id")
+    return table(spark, d, "events").select("event_id", throttle.clamp(F.when(n % 9 != 0, (n % 45).cast("double"))).alias("multiplier"))
+
+
+@_query(
+    "state_transitions",
+    f"{_REQ} SELECT * FROM (SELECT user_id, event_id, state, lag(state) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS previous FROM req) WHERE previous <> state",
+)
+def state_transitions(spark, d):
+    return throttle.transitions(_requests(spark, d).select("user_id", "event_id", "ts", "state"), "user_id", [F.col("ts"), F.col("event_id")], "state").select("user_id", "event_id", "state", "previous")
+
+
+@_query(
+    "clean_streak",
+    f"{_REQ}, i AS (SELECT *, sum(CASE WHEN outcome <> 'ok' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS island FROM req) "
+    "SELECT user_id, event_id, CAST(sum(CASE WHEN outcome = 'ok' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id, island ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS streak FROM i",
+)
+def clean_streak(spark, d):
+    rows = throttle.clean_streak(_requests(spark, d), "user_id", [F.col("ts"), F.col("event_id")], F.col("outcome") != "ok")
+    return rows.select("user_id", "event_id", "streak")
+
+
+@_query(
+    "throttle_sim",
+    f"""WITH RECURSIVE req AS ({REQUESTS}), o AS (SELECT user_id, event_id, outcome, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM req),
+  r AS (SELECT user_id, CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS event_id, '' AS outcome, 1.0::DOUBLE AS m, 0 AS s, 0 AS e, 0 AS k FROM (SELECT DISTINCT user_id FROM req)
+    UNION ALL SELECT r.user_id, o.n, o.event_id, o.outcome,
+      CASE WHEN o.outcome = 'captcha' THEN 30.0 WHEN o.outcome = 'backoff' THEN least(2 * r.m, 30.0) WHEN r.m > 1 AND r.s = 19 THEN greatest(r.m / 2, 1.0) ELSE r.m END,
+      CASE WHEN o.outcome <> 'ok' THEN 0 WHEN r.m <= 1 THEN r.s WHEN r.s = 19 THEN 0 ELSE r.s + 1 END,
+      CASE WHEN o.outcome <> 'ok' THEN least(r.e + 1, 4) WHEN r.m <= 1 THEN 0 WHEN r.s = 19 THEN greatest(r.e - 1, 0) ELSE r.e END,
+      CASE WHEN o.outcome = 'captcha' THEN r.k + 1 WHEN o.outcome = 'ok' AND r.m > 1 AND r.s = 19 AND r.m / 2 <= 1 THEN 0 ELSE r.k END
+    FROM r JOIN o ON o.user_id = r.user_id AND o.n = r.n + 1)
+  SELECT user_id, event_id, m AS multiplier, CAST(s AS INT) AS streak, CAST(e AS INT) AS escalation, CAST(k AS INT) AS strikes FROM r WHERE n > 0""",
+)
+def throttle_sim(spark, d):
+    return throttle.replay(_requests(spark, d), "user_id", "event_id", "outcome").drop("outcome")
+
+
+@_query("status_summary", "SELECT (SELECT count(*) FROM documents) AS index_rows, (SELECT count(DISTINCT doc_id) FROM documents) AS index_ids, (SELECT count(*) FROM labels) AS text_files")
+def status_summary(spark, d):
+    return status.summary(table(spark, d, "documents").select(F.col("doc_id").alias("id")), table(spark, d, "labels"))
+
+
+@_query("log_tail", "SELECT event_id AS line_no, event_type || ' ' || event_id AS value FROM events WHERE event_type = 'error' ORDER BY event_id DESC LIMIT 2")
+def log_tail(spark, d):
+    log = table(spark, d, "events").select(F.col("event_id").alias("line_no"), F.concat_ws(" ", "event_type", "event_id").alias("value"))
+    return status.last_lines(log, 2, "^error|complete")
+
+
+# Vectors ----------------------------------------------------------------------------------------
+
+_DOT = "round(list_sum(list_transform(list_zip(e.embedding, q.embedding), lambda x: CAST(x[1] AS DOUBLE) * CAST(x[2] AS DOUBLE))), 6)"
+
+
+@_query(
+    "vector_topk",
+    f"SELECT query_id, neighbour_id, CAST(rank AS INT) AS rank, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, neighbour_id) AS rank FROM "
+    f"(SELECT q.vec_id AS query_id, e.vec_id AS neighbour_id, {_DOT} AS score FROM embeddings e, embeddings q WHERE q.vec_id % 100 = 0 AND e.vec_id <> q.vec_id)) WHERE rank <= 5",
+)
+def vector_topk(spark, d):
+    rows = table(spark, d, "embeddings")
+    return vectors.nearest(rows, rows.where("vec_id % 100 = 0"), 5).select("query_id", "neighbour_id", "rank", "score")
+
+
+@_query("vector_records", "SELECT vec_id, CASE vec_id % 4 WHEN 0 THEN 'danistay_kararlar' WHEN 1 THEN 'yargitay_kararlar' WHEN 2 THEN 'mevzuat' END AS collection FROM embeddings WHERE len(embedding) = 64")
+def vector_records(spark, d):
+    n = F.col("vec_id") % 4
+    source = F.when(n == 0, "danistay").when(n == 1, "yargitay").when(n == 2, "mevzuat").otherwise("other")
+    return vectors.vector_records(table(spark, d, "embeddings"), size=64).select("vec_id", vectors.collection_of(source).alias("collection"))
+
+
+# Streams ----------------------------------------------------------------------------------------
+
+
+def _index_stream(spark, d):
+    """Index rows as a stream; a pattern serves a file and a folder of files alike."""
+    rows = spark.readStream.schema(table(spark, d, "documents").schema).parquet(f"{d}/documents.parque[t]")
+    return shaped(spark, rows, INDEX, "documents")
+
+
+@_query("publish_stream", f"{_FIRST} SELECT 'legal.' || kaynak || '.raw' AS topic, key, id FROM ranked WHERE r = 1")
+def publish_stream(spark, d):
+    """All documents published from a stream that ends with what is there."""
+    rows = _index_stream(spark, d)
+    docs = normalize.raw_documents(rows, BASE_URL, F.col("kaynak"), keep=("line_no",))
+    publisher = Publisher(scratch_path(spark, "published"))
+    publish_available(docs, publisher, scratch_path(spark, "publish-state"))
+    return publisher.published(spark).select("topic", "key", F.get_json_object("value", "$.id").alias("id"))
+
+
+@_query("dedup_stream", f"{_WITH_RAW} SELECT DISTINCT {_KEY} AS key FROM raw")
+def dedup_stream_query(spark, d):
+    rows = _index_stream(spark, d)
+    keyed = normalize.raw_documents(rows, BASE_URL, F.col("kaynak")).select(normalize.document_key().alias("key"))
+    out = scratch_path(spark, "stream-keys")
+    query = dedup_stream(keyed, "key").writeStream.format("parquet").option("checkpointLocation", scratch_path(spark, "dedup-state")).trigger(availableNow=True).start(out)
+    query.awaitTermination()
+    return spark.read.schema("key string").parquet(out)
