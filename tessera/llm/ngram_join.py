@@ -7,12 +7,14 @@ similarity of at least t share l shingles among the first n - ceil(t n) + l of e
 each document picks its own l: its prefix is lengthened while the estimated cost of its candidates
 falls, and a pair is verified only if the two prefixes share as many shingles as the smaller l.
 
-Candidates are not listed as pairs. Documents that share a prefix shingle form a candidate component;
-small components are dealt to tasks whole, many to a task, and large ones are cut by length bands (a
-link needs sizes within a factor of t) and then into blocks by a hash, which are joined block by block.
-A task sees the whole texts of at most about two blocks, matches prefixes, verifies, and returns a link
-count per document and the edges of a spanning forest: no more rows than it was given. Every link
-between different sets is met in exactly one task.
+How many prefixes hold a shingle is counted exactly. Pairs are counted over the rare ones only, a
+bounded number each, and kept where they share enough; documents that share a frequent shingle are
+joined to its first document instead. The components of these edges hold every link. Small components are
+dealt to tasks whole, many to a task, and large ones are cut by length bands (a link needs sizes within a
+factor of t) and then into blocks by a hash, which are joined block by block. A task sees the whole texts
+of at most about two blocks, matches prefixes, verifies, and returns a link count per document and the
+edges of a spanning forest: no more rows than it was given. Every link between different sets is met in
+exactly one task.
 
 Defined results: texts that are null, empty or white space have no shingles, link with nothing and are
 their own component; a text of fewer words than the width is one shingle; equal sets link; repeated rows
@@ -32,35 +34,57 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.arrow import as_bytes
-from tessera.llm.shingles import mix, shingle_sets
+from tessera.llm.shingles import mix, shingle_sets, weighed_sets, word_table
 from tessera.plans.components import connected_components
 from tessera.session import discard, materialize
 
 WIDTH, PERCENT = 5, 80
-SKETCH_BITS, PARTS = 20, 64
-MOST_MATCHES = 8
+#: Sizes of the count tables: words, and shingles by the size of the texts between two bounds.
+WORD_BITS, LEAST_BITS, MOST_BITS, PARTS = 20, 16, 23, 32
+MOST_MATCHES = 16
 BLOCK = 512
+#: Shingles in more prefixes than this, or than the noise of the count table explains, are frequent.
+FREQUENT = 64
 
 
 class Prefixes:
-    """The global order and each set's adaptive prefix. ``level`` is a quantised count per hash bucket."""
+    """The global order of shingles, and each set's adaptive prefix.
 
-    def __init__(self, level: np.ndarray, percent: int):
-        self.level, self.percent = level, percent
-        count = np.exp2(level / 4) - 1
-        usual = float(np.median(count)) if len(count) else 0.0
-        # Documents beyond the usual filling of a bucket that a shingle probably adds as candidates.
-        self.excess = np.maximum(count - 1.5 * usual - 4, 0)
+    A shingle's estimated document count, in quarter powers of two, is the larger of two: what chance
+    gives, from the counts of its words, and what its bucket of the shingle table holds beyond its
+    usual filling. Both tables have a fixed size and count all documents.
+    """
 
-    def of(self, shingles: np.ndarray) -> tuple[np.ndarray, int]:
+    def __init__(self, shingles: np.ndarray, words: np.ndarray, width: int, percent: int):
+        self.width, self.percent = width, percent
+        usual = float(np.median(shingles))
+        self.noise = 6 * math.sqrt(usual) + 8
+        beyond = np.maximum(shingles - usual - 5 * math.sqrt(usual) - 2, 0)
+        self.beyond = np.round(4 * np.log2(1 + beyond)).astype(np.uint8)
+        self.words = np.round(4 * np.log2(1 + words)).astype(np.uint8)
+        self.chance = round(4 * (width - 1) * math.log2(1 + int(words.sum())))
+
+    def sets(self, raws: list[bytes | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Each text's shingles and their estimates."""
+        out = []
+        for shingles, common in weighed_sets(raws, self.width, self.words):
+            beyond = self.beyond[(shingles & np.uint64(len(self.beyond) - 1)).astype(np.int64)].astype(np.int32)
+            out.append((shingles, np.where(beyond > 0, np.maximum(common - self.chance, beyond), common - self.chance)))
+        return out
+
+    def longest(self, shingles: np.ndarray, estimate: np.ndarray) -> np.ndarray:
+        """The longest prefix that any number of matches needs, in global order."""
+        need = -(-self.percent * len(shingles) // 100)
+        return shingles[np.lexsort((shingles, estimate))[: len(shingles) - need + min(MOST_MATCHES, need)]]
+
+    def of(self, shingles: np.ndarray, estimate: np.ndarray) -> tuple[np.ndarray, int]:
         """The prefix of a set in global order, and how many of its shingles a partner must share."""
         n = len(shingles)
-        bucket = (shingles & np.uint64(len(self.level) - 1)).astype(np.int64)
-        order = np.lexsort((shingles, self.level[bucket]))
+        order = np.lexsort((shingles, estimate))
         need = -(-self.percent * n // 100)
         most = min(MOST_MATCHES, need)
         head = order[: n - need + most]
-        found = np.cumsum(self.excess[bucket[head]])
+        found = np.cumsum(np.exp2(np.maximum(estimate[head], 0) / 4) - 1)
         matches = np.arange(1, most + 1)
         length = n - need + matches
         # Postings read, and at most found / l documents that can share l of them, to be verified.
@@ -69,46 +93,56 @@ class Prefixes:
         return shingles[head[: length[best]]], best + 1
 
 
-def _levels(parts: DataFrame) -> np.ndarray:
-    """Quantised counts from the compressed partial tables; a table of fixed size reaches the driver."""
+def _tables(parts: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingle and word counts from the compressed partial tables; two tables of bounded size reach the driver."""
 
     def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(zlib.decompress(x), np.uint32).astype(np.int64) for x in table["counts"].to_pylist())
-        return pa.table({"part": table["part"].slice(0, 1).cast(pa.int32()), "level": pa.array([np.round(4 * np.log2(1 + total)).astype(np.uint8).tobytes()], pa.binary())})
-
-    rows = {r["part"]: r["level"] for r in parts.groupBy("part").applyInArrow(add, "part int, level binary").collect()}
-    size = (1 << SKETCH_BITS) // PARTS
-    return np.concatenate([np.frombuffer(rows.get(p, bytes(size)), np.uint8) for p in range(PARTS)])
+        total = None
+        for x in table["counts"].to_pylist():
+            part = np.frombuffer(zlib.decompress(x), np.uint32).astype(np.int64)
+            total = part if total is None else total + part
+        return pa.table({"part": table["part"].slice(0, 1).cast(pa.int32()), "counts": pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())})
+
+    rows = {r["part"]: zlib.decompress(r["counts"]) for r in parts.groupBy("part").applyInArrow(add, "part int, counts binary").collect()}
+    shingles, words = (
+        np.concatenate([np.frombuffer(rows[first + p], np.int64) if first + p in rows else np.zeros((1 << b) // PARTS, np.int64) for p in range(PARTS)])
+        for first, b in ((0, bits), (PARTS, WORD_BITS))
+    )
+    return shingles, words
 
 
-def _signatures(docs: DataFrame, width: int) -> DataFrame:
-    """n and a 128-bit signature of each document's set, and each task's table of shingle counts."""
+def _signatures(docs: DataFrame, width: int, bits: int) -> DataFrame:
+    """n and a 128-bit signature of each document's set, and each task's tables of shingle and word counts."""
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("part", pa.int32()), ("counts", pa.binary())])
 
     def run(batches):
-        counts = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
+        shingles, words = np.zeros(1 << bits, dtype=np.uint32), np.zeros(1 << WORD_BITS, dtype=np.uint32)
         for b in batches:
-            sets = shingle_sets(b.column("_utf8").to_pylist(), width)
+            raws = b.column("_utf8").to_pylist()
+            sets = shingle_sets(raws, width)
+            for s in sets:
+                at, n = np.unique((s & np.uint64(len(shingles) - 1)).astype(np.int64), return_counts=True)
+                shingles[at] += n.astype(np.uint32)
+            words += word_table(raws, WORD_BITS).astype(np.uint32)
             joined = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-            counts += np.bincount((joined & np.uint64(len(counts) - 1)).astype(np.int64), minlength=len(counts)).astype(np.uint32)
             at = np.cumsum([0, *map(len, sets)])
             with np.errstate(over="ignore"):
                 sums = [np.append(np.uint64(0), np.cumsum(mix(joined ^ np.uint64(c)), dtype=np.uint64)) for c in (0x243F6A8885A308D3, 0x13198A2E03707344)]
                 keys = [pa.array((s[at[1:]] - s[at[:-1]]).view(np.int64)) for s in sums]
             none = pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.diff(at)), *keys, *none], schema=schema)
-        if counts.any():
-            packed = [zlib.compress(x.tobytes(), 1) for x in counts.reshape(PARTS, -1)]
-            none = pa.nulls(PARTS, pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(range(PARTS), pa.int32()), pa.array(packed, pa.binary())], schema=schema)
+        if words.any():
+            packed = [zlib.compress(x.tobytes(), 1) for t in (shingles, words) for x in t.reshape(PARTS, -1)]
+            none = pa.nulls(2 * PARTS, pa.int64())
+            yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(range(2 * PARTS), pa.int32()), pa.array(packed, pa.binary())], schema=schema)
 
     return docs.mapInArrow(run, "doc_id long, n long, k1 long, k2 long, part int, counts binary")
 
 
-def _prefix_rows(docs: DataFrame, width: int, prefixes) -> DataFrame:
+def _prefix_rows(docs: DataFrame, prefixes) -> DataFrame:
     def run(batches):
         for b in batches:
-            heads = [prefixes.value.of(s)[0] if len(s) else s for s in shingle_sets(b.column("_utf8").to_pylist(), width)]
+            heads = [prefixes.value.longest(*s) for s in prefixes.value.sets(b.column("_utf8").to_pylist())]
             at = pa.array(np.cumsum([0, *map(len, heads)]), pa.int32())
             flat = np.concatenate(heads).view(np.int64) if heads else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.ListArray.from_arrays(at, pa.array(flat))], names=["doc_id", "prefix"])
@@ -116,6 +150,28 @@ def _prefix_rows(docs: DataFrame, width: int, prefixes) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, prefix array<long>")
 
 
+def _candidate_edges(heads: DataFrame, reps: DataFrame, percent: int, frequent: int) -> DataFrame:
+    """Edges (x, y) whose components hold every link: pairs that share enough rare shingles, and stars of frequent ones."""
+    postings = heads.select("doc_id", F.posexplode("prefix").alias("pos", "token"))
+    tokens = postings.groupBy("token").agg(F.count("*").alias("df"), F.min("doc_id").alias("first")).where("df > 1")
+    shared = postings.join(tokens, "token").groupBy("doc_id").agg(F.collect_list(F.struct("pos", "token", "df", "first")).alias("own"))
+    # Every document picks the number of matches that costs least: postings read, plus at most
+    # (sum of partners) / matches documents that can share that many, each verified at a cost by length.
+    need = -F.floor(-F.col("n") * percent / 100)
+    length = lambda k: F.col("n") - need + k
+    partners = lambda k: F.aggregate(F.filter("own", lambda t: t["pos"] < length(k)), F.lit(0.0), lambda a, t: a + t["df"] - 1)
+    costs = F.transform(F.sequence(F.lit(1).cast("long"), F.least(F.lit(MOST_MATCHES).cast("long"), need)), lambda k: length(k) + partners(k) * (1 + (1 + F.col("n") / 16) / k))
+    picked = shared.join(reps.select("doc_id", "n"), "doc_id").withColumn("costs", costs).withColumn("matches", F.array_position("costs", F.array_min("costs")))
+    kept = picked.select("doc_id", "n", "matches", F.explode(F.filter("own", lambda t: t["pos"] < length(F.col("matches")))).alias("t"))
+    rare = kept.where(F.col("t.df") <= frequent).groupBy("t.token").agg(F.collect_list(F.struct("doc_id", "n", "matches")).alias("docs"))
+    fits = lambda x, y: (x["doc_id"] < y["doc_id"]) & (100 * F.least(x["n"], y["n"]) >= percent * F.greatest(x["n"], y["n"]))
+    pair = lambda x, y: F.struct(x["doc_id"].alias("x"), y["doc_id"].alias("y"), F.least(x["matches"], y["matches"]).alias("least"))
+    pairs = F.flatten(F.transform("docs", lambda x: F.transform(F.filter("docs", lambda y: fits(x, y)), lambda y: pair(x, y))))
+    counted = rare.where(F.size("docs") > 1).select(F.explode(pairs).alias("p")).groupBy("p.x", "p.y").agg(F.count("*").alias("c"), F.min("p.least").alias("least"))
+    stars = kept.where(F.col("t.df") > frequent).select(F.col("doc_id").alias("x"), F.col("t.first").alias("y")).where("x <> y")
+    return counted.where("c >= least").select("x", "y").unionAll(stars)
+
+
 def _overlaps(sets: list[np.ndarray], rows: np.ndarray) -> np.ndarray:
     """Intersection sizes of all pairs of ``rows``, by products of incidence matrices in slices."""
     owner = np.repeat(np.arange(len(rows)), [len(sets[r]) for r in rows])
@@ -147,11 +203,12 @@ def _components_of(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = new
 
 
-def links_among(sets: list[np.ndarray], prefixes: Prefixes, percent: int, side: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+def links_among(weighed: list[tuple[np.ndarray, np.ndarray]], prefixes: Prefixes, percent: int, side: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """All pairs (i, j) of linked sets, i < j; with ``side``, only pairs from different sides."""
+    sets = [s for s, _ in weighed]
     m = len(sets)
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
-    heads, least = zip(*[prefixes.of(s) if len(s) else (s, 1) for s in sets]) if m else ((), ())
+    heads, least = zip(*[prefixes.of(*s) if len(s[0]) else (s[0], 1) for s in weighed]) if m else ((), ())
     least = np.array(least, dtype=np.int64)
     owner = np.repeat(np.arange(m), [len(h) for h in heads])
     tokens = np.concatenate(heads) if m else np.zeros(0, np.uint64)
@@ -187,13 +244,13 @@ def links_among(sets: list[np.ndarray], prefixes: Prefixes, percent: int, side:
     return i[linked], j[linked]
 
 
-def _join_task(width: int, percent: int, prefixes):
+def _join_task(percent: int, prefixes):
     """applyInArrow function: link counts and forest edges of one task."""
 
     def run(table: pa.Table) -> pa.Table:
         ids, copies = table["doc_id"].to_numpy(), table["copies"].to_numpy()
         across = table["across"][0].as_py()
-        sets = shingle_sets(table["_utf8"].to_pylist(), width)
+        sets = prefixes.value.sets(table["_utf8"].to_pylist())
         i, j = links_among(sets, prefixes.value, percent, table["side"].to_numpy() if across else None)
         links = np.bincount(i, copies[j], len(ids)) + np.bincount(j, copies[i], len(ids))
         root, some = _components_of(len(ids), i, j), np.flatnonzero(links)
@@ -242,22 +299,23 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
         raise ValueError("percent must be over 0 and at most 100")
     spark = docs.sparkSession
     texts = as_bytes(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id")
-    found = materialize(_signatures(texts, width), "signatures")
+    size = texts.agg(F.sum(F.octet_length("_utf8"))).first()[0] or 0
+    bits = min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(1 + size / 64))))
+    found = materialize(_signatures(texts, width, bits), "signatures")
     signed = found.where("part is null").select("doc_id", "n", "k1", "k2")
-    prefixes = spark.sparkContext.broadcast(Prefixes(_levels(found.where("part is not null").select("part", "counts")), percent))
+    order = Prefixes(*_tables(found.where("part is not null").select("part", "counts"), bits), width, percent)
+    frequent, prefixes = max(FREQUENT, math.ceil(order.noise)), spark.sparkContext.broadcast(order)
     classes = materialize(
         signed.where("doc_id is not null and n > 0").groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes"
     )
     reps = classes.select(F.col("rep").alias("doc_id"), "n", "copies")
-    heads = materialize(_prefix_rows(texts.where("doc_id is not null"), width, prefixes).join(reps.select("doc_id"), "doc_id", "left_semi"), "prefixes")
-    postings = heads.select("doc_id", F.explode("prefix").alias("token"))
-    tokens = postings.groupBy("token").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("token", "first")
-    candidates = connected_components(postings.join(tokens, "token").where("doc_id <> first").select("doc_id", "first"), "doc_id", "first")
+    heads = materialize(_prefix_rows(texts.where("doc_id is not null"), prefixes).join(reps.select("doc_id"), "doc_id", "left_semi"), "prefixes")
+    candidates = connected_components(_candidate_edges(heads, reps, percent, frequent), "x", "y")
     members = materialize(candidates.select(F.col("node").alias("doc_id"), F.col("component").alias("comp")).join(reps, "doc_id"), "candidates")
     discard(heads)
     partitions = max(1, math.ceil(members.count() / block))
     dealt = _tasks(members, percent, block, partitions)
-    met = texts.join(dealt, "doc_id").groupBy("kind", "a", "b").applyInArrow(_join_task(width, percent, prefixes), "doc_id long, links long, other long")
+    met = texts.join(dealt, "doc_id").groupBy("kind", "a", "b").applyInArrow(_join_task(percent, prefixes), "doc_id long, links long, other long")
     met = materialize(met, "links")
     counts = met.groupBy("doc_id").agg(F.sum("links").alias("links"))
     parts = connected_components(met.select("doc_id", "other"), "doc_id", "other")

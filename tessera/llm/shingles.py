@@ -44,7 +44,7 @@ def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return mix(hashes + (ends - starts).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)), starts
 
 
-def _sets_of(raws: list[bytes], width: int) -> list[np.ndarray]:
+def _sets_of(raws: list[bytes], width: int, levels: np.ndarray | None) -> list[tuple[np.ndarray, np.ndarray | None]]:
     sizes = np.array([len(r) + 1 for r in raws], dtype=np.int64)
     words, starts = word_hashes(b" ".join(raws))
     bounds = np.searchsorted(starts, np.append(0, np.cumsum(sizes)))
@@ -54,30 +54,57 @@ def _sets_of(raws: list[bytes], width: int) -> list[np.ndarray]:
     for j in range(width):
         forms += words[j : j + n] * factors[j]
     forms = mix(forms)
+    common = None
+    if levels is not None:
+        level = levels[(words & np.uint64(len(levels) - 1)).astype(np.int64)].astype(np.int32)
+        common = np.zeros(n, dtype=np.int32)
+        for j in range(width):
+            common += level[j : j + n]
     out = []
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
         k = b - a
-        if k >= width:
-            out.append(np.unique(forms[a : b - width + 1]))
+        if k >= width and common is None:
+            out.append((np.unique(forms[a : b - width + 1]), None))
+        elif k >= width:
+            own, at = np.unique(forms[a : b - width + 1], return_index=True)
+            out.append((own, common[a + at]))
         elif k:
-            out.append(mix((words[a:b] * factors[:k]).sum(dtype=np.uint64, keepdims=True) + np.uint64(k)))
+            out.append((mix((words[a:b] * factors[:k]).sum(dtype=np.uint64, keepdims=True) + np.uint64(k)), np.zeros(1, np.int32)))
         else:
-            out.append(np.zeros(0, dtype=np.uint64))
+            out.append((np.zeros(0, dtype=np.uint64), np.zeros(0, np.int32)))
     return out
 
 
-def shingle_sets(raws: list[bytes | None], width: int) -> list[np.ndarray]:
-    """The sorted distinct shingle hashes of each text; none for texts without words."""
-    out: list[np.ndarray] = []
+def _chunks(raws: list[bytes | None]):
     chunk: list[bytes] = []
     size = 0
+    for raw in raws:
+        chunk.append(raw or b"")
+        size += len(raw or b"") + 1
+        if size >= _CHUNK:
+            yield chunk
+            chunk, size = [], 0
+    if chunk:
+        yield chunk
+
+
+def shingle_sets(raws: list[bytes | None], width: int) -> list[np.ndarray]:
+    """The sorted distinct shingle hashes of each text; none for texts without words."""
+    with np.errstate(over="ignore"):
+        return [s for chunk in _chunks(raws) for s, _ in _sets_of(chunk, width, None)]
+
+
+def weighed_sets(raws: list[bytes | None], width: int, levels: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Sets as from ``shingle_sets``, with the sum of each shingle's word levels by ``levels``, a table by word hash."""
+    with np.errstate(over="ignore"):
+        return [s for chunk in _chunks(raws) for s in _sets_of(chunk, width, levels)]
+
+
+def word_table(raws: list[bytes | None], bits: int) -> np.ndarray:
+    """Counts of words by the low bits of their hashes."""
+    out = np.zeros(1 << bits, dtype=np.int64)
     with np.errstate(over="ignore"):
-        for raw in raws:
-            chunk.append(raw or b"")
-            size += len(raw or b"") + 1
-            if size >= _CHUNK:
-                out += _sets_of(chunk, width)
-                chunk, size = [], 0
-        if chunk:
-            out += _sets_of(chunk, width)
+        for chunk in _chunks(raws):
+            words, _ = word_hashes(b" ".join(chunk))
+            out += np.bincount((words & np.uint64(len(out) - 1)).astype(np.int64), minlength=len(out))
     return out
