@@ -14,7 +14,7 @@ from tessera.schemas import ENVELOPE, SEARCH_ROWS
 PAGE_PATH = "/arama/getDokuman?id="
 
 
-def raw_documents(rows: DataFrame, base_url: str, source: Column | str = "danistay", keep: tuple[str, ...] = ()) -> DataFrame:
+def raw_documents(rows: DataFrame, base_url: str, source: Column | str = SOURCES[0], keep: tuple[str, ...] = ()) -> DataFrame:
     """Index rows with a text become raw documents; rows whose stripped text is empty are dropped.
 
     Columns named in ``keep`` go along. A column mevzuatNo, where there is one, is the statute number.
