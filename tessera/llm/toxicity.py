@@ -1,4 +1,4 @@
-"""Toxicity by a classifier chain of linear models over words.
+"""Toxicity by a classifier chain of linear models over words and stems.
 
 The chain predicts one category after the other; each later model sees the probabilities of the
 earlier ones. While it is trained, those are out-of-fold predictions, so a later model learns from
@@ -15,7 +15,6 @@ not shuffled; the labels of the sample are broadcast.
 
 from __future__ import annotations
 
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,10 +25,13 @@ from pyspark.sql import functions as F
 from tessera.llm.arrow import as_bytes
 from tessera.llm.decontaminate import words_of
 from tessera.llm.quality import held_out, labelled_sample
+from tessera.session import discard, materialize
 
 SAMPLE = 20_000
 THRESHOLD = 0.5
 MAX_WORDS = 256
+#: Words longer than this also count by their first bytes, so that compounds of one stem add up.
+STEM = 6
 
 # Seed words of the kinds of abuse.
 CATEGORIES = {
@@ -59,64 +61,86 @@ class Chain:
         return x
 
 
+def features_of(raw: bytes | None) -> set[bytes]:
+    """The distinct words of a text, and the stems of its longer ones, marked by a star."""
+    words = set(words_of(raw))
+    return words | {w[:STEM] + b"*" for w in words if len(w) > STEM}
+
+
 def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit_linear(x: np.ndarray, y: np.ndarray, l2: float = 1e-3, steps: int = 150) -> tuple[np.ndarray, float]:
-    """Logistic regression by Nesterov's accelerated gradient."""
+def fit_linear(x: np.ndarray, y: np.ndarray, ridge: float = 0.5, steps: int = 12) -> tuple[np.ndarray, float]:
+    """Ridge logistic regression by Newton's method; the intercept is not penalised."""
     mean = float(np.clip(y.mean() if len(y) else 0.5, 1e-3, 1 - 1e-3))
-    w, b = np.zeros(x.shape[1]), float(np.log(mean / (1 - mean)))
+    w = np.append(np.zeros(x.shape[1]), np.log(mean / (1 - mean)))
     if len(y) == 0 or y.min() == y.max():
-        return w, b
-    rate = 4.0 / (float((x**2).sum(axis=1).max()) + 1)
-    look_w, look_b = w, b
-    for t in range(steps):
-        r = _sigmoid(x @ look_w + look_b) - y
-        new_w, new_b = look_w - rate * (x.T @ r / len(y) + l2 * look_w), look_b - rate * float(r.mean())
-        move = t / (t + 3)
-        look_w, look_b = new_w + move * (new_w - w), new_b + move * (new_b - b)
-        w, b = new_w, new_b
-    return w, b
-
-
-def fit_chain(texts: list[set[bytes]], toxic: np.ndarray, categories: dict = CATEGORIES, max_words: int = MAX_WORDS, folds: int = 3) -> Chain:
-    """``folds`` parts of the rows, by position, give the out-of-fold probabilities of each link."""
-    names = (*categories, "toxic")
-    good = Counter(w for t, y in zip(texts, toxic) if not y for w in t)
-    bad = Counter(w for t, y in zip(texts, toxic) if y for w in t)
-    n_bad, n_good = max(1, int(toxic.sum())), max(1, int((1 - toxic).sum()))
-    # Words by the difference of their shares among toxic and other texts, ties by the word.
-    gap = sorted(((abs(bad[w] / n_bad - good[w] / n_good), w) for w in bad.keys() | good.keys() if bad[w] + good[w] >= 3), key=lambda p: (-p[0], p[1]))
-    words = {w: i for i, (_, w) in enumerate(gap[:max_words])}
-    empty = Chain(names, words, np.zeros((len(names), len(words) + len(names))), np.zeros(len(names)))
-    if not len(toxic):
-        return empty
-    x = empty.indicators(texts).astype(np.float64)
-    earlier, fold = np.zeros((len(x), len(names))), np.arange(len(x)) % folds
-    for k, name in enumerate(names):
-        seeds = set(categories.get(name, ()))
-        y = np.array([float(t and (not seeds or bool(seeds & words_))) for t, words_ in zip(toxic, texts)])
-        both, out = np.hstack([x, earlier]), np.zeros(len(x))
+        return w[:-1], float(w[-1])
+    x = np.hstack([x, np.ones((len(x), 1), x.dtype)]).astype(np.float32)
+    penalty = np.append(np.full(x.shape[1] - 1, ridge), 1e-6)
+    for _ in range(steps):
+        p = _sigmoid(x @ w.astype(np.float32)).astype(np.float64)
+        curve = (x * np.maximum(p * (1 - p), 1e-4).astype(np.float32)[:, None]).T @ x
+        step = np.linalg.solve(curve.astype(np.float64) + np.diag(penalty), x.T.astype(np.float64) @ (y - p) - penalty * w)
+        w = w + step
+        if np.abs(step).max() < 1e-3:
+            break
+    return w[:-1], float(w[-1])
+
+
+def fit_chain(names: tuple[str, ...], words: list[bytes], x: np.ndarray, y: np.ndarray, folds: int = 3) -> Chain:
+    """The chain for word indicators ``x`` and labels ``y`` (rows, links); folds go by the rows' position.
+
+    Each link is fitted on all rows and, for the later links to learn from, predicted out of fold.
+    """
+    chain = Chain(names, {w: i for i, w in enumerate(words)}, np.zeros((len(names), len(words) + len(names))), np.zeros(len(names)))
+    both, fold = np.hstack([x, np.zeros((len(x), len(names)))]).astype(np.float32), np.arange(len(x)) % folds
+    for k in range(len(names)):
+        out = np.zeros(len(x), dtype=np.float32)
         for f in range(folds):
-            w, b = fit_linear(both[fold != f], y[fold != f])
+            w, b = fit_linear(both[fold != f], y[fold != f, k])
             out[fold == f] = _sigmoid(both[fold == f] @ w + b)
-        empty.weights[k], empty.intercepts[k] = fit_linear(both, y)
-        earlier[:, k] = out
-    return empty
+        chain.weights[k], chain.intercepts[k] = fit_linear(both, y[:, k])
+        both[:, len(words) + k] = out
+    return chain
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, categories: dict = CATEGORIES, max_words: int = MAX_WORDS) -> Chain:
+    """Words are chosen, and indicators made, on the executors; bits of at most ``sample`` rows are gathered."""
     chosen = labelled_sample(labels, "toxic", sample)
-    texts = as_bytes(docs, "doc_id").join(F.broadcast(chosen), "doc_id").orderBy("doc_id").limit(sample).select("label", "_utf8")
+    texts = as_bytes(docs, "doc_id").join(F.broadcast(chosen), "doc_id").orderBy("doc_id").limit(sample).select("doc_id", "label", "_utf8")
 
-    def run(batches):
+    def distinct(batches):
         for b in batches:
-            sets = [sorted(set(words_of(raw))) for raw in b.column("_utf8").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("label"), pa.array(sets, pa.list_(pa.binary()))], names=["label", "words"])
-
-    got = texts.mapInArrow(run, "label int, words array<binary>").toArrow()
-    return fit_chain([set(w) for w in got["words"].to_pylist()], got["label"].to_numpy().astype(np.float64))
+            sets = [sorted(features_of(raw)) for raw in b.column("_utf8").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("label"), pa.array(sets, pa.list_(pa.binary()))], names=["doc_id", "label", "words"])
+
+    rows = materialize(texts.mapInArrow(distinct, "doc_id long, label int, words array<binary>"), "toxicity-sample")
+    n_bad, n_good = rows.agg(F.greatest(F.sum("label"), F.lit(1)), F.greatest(F.sum(1 - F.col("label")), F.lit(1))).first()
+    counts = rows.select("label", F.explode("words").alias("word")).groupBy("word").agg(F.sum("label").alias("bad"), F.sum(1 - F.col("label")).alias("good"))
+    # Words by the difference of their shares among toxic and other texts, in standard errors; ties by the word.
+    gap = F.abs(F.col("bad") / F.lit(n_bad or 1) - F.col("good") / F.lit(n_good or 1)) / F.sqrt(F.col("bad") + F.col("good"))
+    words = [bytes(r["word"]) for r in counts.where("bad + good >= 3").orderBy(gap.desc(), "word").limit(max_words).select("word").collect()]
+    names, at = (*categories, "toxic"), {w: i for i, w in enumerate(words)}
+
+    def bits(batches):
+        for b in batches:
+            sets = [set(w) for w in b.column("words").to_pylist()]
+            x = np.zeros((len(sets), len(at)), dtype=bool)
+            for row, own in enumerate(sets):
+                x[row, [at[w] for w in own & at.keys()]] = True
+            seeds = [[not own.isdisjoint(seed) for own in sets] for seed in categories.values()]
+            packed = np.packbits(np.column_stack([x, *seeds]), axis=1)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("label"), pa.array([r.tobytes() for r in packed], pa.binary())], names=["doc_id", "label", "bits"])
+
+    got = rows.mapInArrow(bits, "doc_id long, label int, bits binary").toArrow().sort_by("doc_id")
+    discard(rows)
+    width = len(words) + len(categories)
+    raw = np.frombuffer(b"".join(got["bits"].to_pylist()), np.uint8).reshape(len(got), -1) if len(got) else np.zeros((0, -(-width // 8)), np.uint8)
+    flags, toxic = np.unpackbits(raw, axis=1)[:, :width], got["label"].to_numpy().astype(np.float64)
+    y = np.column_stack([toxic * flags[:, len(words) + k] for k in range(len(categories))] + [toxic])
+    return fit_chain(names, words, flags[:, : len(words)], y)
 
 
 def score(docs: DataFrame, chain: Chain, threshold: float = THRESHOLD) -> DataFrame:
@@ -125,7 +149,7 @@ def score(docs: DataFrame, chain: Chain, threshold: float = THRESHOLD) -> DataFr
 
     def run(batches):
         for b in batches:
-            p = shared.value.probabilities(shared.value.indicators([set(words_of(raw)) for raw in b.column("_utf8").to_pylist()]))
+            p = shared.value.probabilities(shared.value.indicators([features_of(raw) for raw in b.column("_utf8").to_pylist()]))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(p[:, k]) for k in range(p.shape[1]))], names=["doc_id", *names])
 
     rows = as_bytes(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id")
