@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,10 +11,8 @@ def as_bytes(df: DataFrame, *keep: str, text: str = "text") -> DataFrame:
     return df.select(*keep, F.col(text).cast("binary").alias("_utf8"))
 
 
-def to_text(raw: bytes | None) -> str:
-    return raw.decode("utf-8", "replace") if raw else ""
-
-
-def batch_of(schema: pa.Schema, columns: list) -> pa.RecordBatch:
-    arrays = [c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in zip(columns, schema, strict=True)]
-    return pa.RecordBatch.from_arrays(arrays, schema=schema)
+def sliced(batches, rows: int = 1000):
+    """The batches in slices, so that the Python objects of few rows live at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)

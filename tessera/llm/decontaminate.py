@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.arrow import sliced
 from tessera.session import materialize
 
 WINDOW = 13
@@ -133,7 +134,7 @@ def _scan(docs: DataFrame, windows: dict, carried: bool) -> DataFrame:
 
     def run(batches):
         automaton = _automaton(tag, shared)
-        for b in batches:
+        for b in sliced(batches):
             raws = b.column("_utf8").to_pylist()
             old_runs, old_items = (b.column(c).to_pylist() if carried else [[]] * len(raws) for c in ("runs", "items"))
             n, runs, items, kept = [], [], [], []
@@ -156,7 +157,7 @@ def _finish(docs: DataFrame, one_in: int) -> DataFrame:
     )
 
     def run(batches):
-        for b in batches:
+        for b in sliced(batches):
             rows = [[] for _ in range(7)]
             for raw, n, runs, items in zip(*(b.column(c).to_pylist() for c in ("_utf8", "n_words", "runs", "items"))):
                 hit, spans = sum(e - a for a, e in runs), []

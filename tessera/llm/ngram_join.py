@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.arrow import as_bytes
+from tessera.llm.arrow import as_bytes, sliced
 from tessera.llm.shingles import mix, shingle_sets, weighed_sets, word_table
 from tessera.plans.components import connected_components
 from tessera.session import discard, materialize
@@ -117,7 +117,7 @@ def _signatures(docs: DataFrame, width: int, bits: int) -> DataFrame:
 
     def run(batches):
         shingles, words = np.zeros(1 << bits, dtype=np.uint32), np.zeros(1 << WORD_BITS, dtype=np.uint32)
-        for b in batches:
+        for b in sliced(batches):
             raws = b.column("_utf8").to_pylist()
             sets = shingle_sets(raws, width)
             for s in sets:
@@ -141,7 +141,7 @@ def _signatures(docs: DataFrame, width: int, bits: int) -> DataFrame:
 
 def _prefix_rows(docs: DataFrame, prefixes) -> DataFrame:
     def run(batches):
-        for b in batches:
+        for b in sliced(batches):
             heads = [prefixes.value.longest(*s) for s in prefixes.value.sets(b.column("_utf8").to_pylist())]
             at = pa.array(np.cumsum([0, *map(len, heads)]), pa.int32())
             flat = np.concatenate(heads).view(np.int64) if heads else np.zeros(0, np.int64)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.arrow import as_bytes
+from tessera.llm.arrow import as_bytes, sliced
 from tessera.llm.boosting import Forest, fit
 
 SAMPLE = 20_000
@@ -75,7 +75,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, **options) -
     schema = "label int, stats array<double>"
 
     def run(batches):
-        for b in batches:
+        for b in sliced(batches):
             x = matrix_of(b.column("_utf8").to_pylist())
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * len(STATISTICS), pa.int32()), pa.array(x.ravel()))
             yield pa.RecordBatch.from_arrays([b.column("label"), lists], names=["label", "stats"])
@@ -92,7 +92,7 @@ def score(docs: DataFrame, forest: Forest, threshold: float = THRESHOLD) -> Data
     shared = docs.sparkSession.sparkContext.broadcast(forest)
 
     def run(batches):
-        for b in batches:
+        for b in sliced(batches):
             p = shared.value.probability(matrix_of(b.column("_utf8").to_pylist()))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(p)], names=["doc_id", "score"])
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 
-_CHUNK = 4 << 20
+_CHUNK = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 _LUT = np.arange(256, dtype=np.uint8)
 _LUT[0x41:0x5B] += 0x20

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.arrow import as_bytes
+from tessera.llm.arrow import as_bytes, sliced
 from tessera.llm.decontaminate import words_of
 from tessera.llm.quality import held_out, labelled_sample
 from tessera.session import discard, materialize
@@ -112,7 +112,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, categories:
     texts = as_bytes(docs, "doc_id").join(F.broadcast(chosen), "doc_id").orderBy("doc_id").limit(sample).select("doc_id", "label", "_utf8")
 
     def distinct(batches):
-        for b in batches:
+        for b in sliced(batches):
             sets = [sorted(features_of(raw)) for raw in b.column("_utf8").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("label"), pa.array(sets, pa.list_(pa.binary()))], names=["doc_id", "label", "words"])
 
@@ -125,7 +125,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, categories:
     names, at = (*categories, "toxic"), {w: i for i, w in enumerate(words)}
 
     def bits(batches):
-        for b in batches:
+        for b in sliced(batches):
             sets = [set(w) for w in b.column("words").to_pylist()]
             x = np.zeros((len(sets), len(at)), dtype=bool)
             for row, own in enumerate(sets):
@@ -148,7 +148,7 @@ def score(docs: DataFrame, chain: Chain, threshold: float = THRESHOLD) -> DataFr
     shared, names = docs.sparkSession.sparkContext.broadcast(chain), [f"p_{n}" for n in chain.names]
 
     def run(batches):
-        for b in batches:
+        for b in sliced(batches):
             p = shared.value.probabilities(shared.value.indicators([features_of(raw) for raw in b.column("_utf8").to_pylist()]))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(p[:, k]) for k in range(p.shape[1]))], names=["doc_id", *names])
 
