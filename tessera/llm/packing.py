@@ -25,10 +25,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.arrow import sliced
 from tessera.llm.tokens import TextEncoder
 
 CAPACITY = 1024
 BLOCK = 16_384
+#: Distinct words cached per process; packing ends a pipeline whose workers hold other state too.
+CACHE = 400_000
 
 
 def best_fill(room: int, counts: dict[int, int]) -> dict[int, int]:
@@ -57,12 +60,16 @@ def best_fill(room: int, counts: dict[int, int]) -> dict[int, int]:
 
 
 def fill_windows(lengths: list[int], capacity: int) -> tuple[list[list[int]], list[int]]:
-    """Groups of indices whose lengths sum to the capacity exactly, and the indices left over."""
+    """Groups of indices whose lengths sum to the capacity exactly, and the indices left over.
+
+    Where the best window with the longest length is not full, that length is set aside to be cut.
+    """
     by_length: dict[int, list[int]] = defaultdict(list)
     for i in reversed(range(len(lengths))):
         by_length[lengths[i]].append(i)
     counts = {k: len(v) for k, v in by_length.items()}
     windows: list[list[int]] = []
+    aside: list[int] = []
     while counts:
         longest = max(counts)
         counts[longest] -= 1
@@ -70,13 +77,15 @@ def fill_windows(lengths: list[int], capacity: int) -> tuple[list[list[int]], li
         counts[longest] += 1
         used[longest] = used.get(longest, 0) + 1
         if sum(k * n for k, n in used.items()) < capacity:
-            break
+            del counts[longest]
+            aside += by_length.pop(longest)
+            continue
         for _ in range(min(counts[k] // n for k, n in used.items())):
             windows.append([by_length[k].pop() for k, n in used.items() for _ in range(n)])
             for k, n in used.items():
                 counts[k] -= n
         counts = {k: v for k, v in counts.items() if v}
-    return windows, sorted(i for v in by_length.values() for i in v)
+    return windows, sorted(aside)
 
 
 def cut_tail(lengths: list[int], capacity: int) -> list[list[tuple[int, int, int]]]:
@@ -144,9 +153,9 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
     schema = pa.schema(fields + [("ids", pa.list_(pa.int32()))] * with_ids)
 
     def run(batches):
-        encoder = TextEncoder.open(tokenizer)
+        encoder = TextEncoder.open(tokenizer, CACHE)
         out = _Rows(TaskContext.get().partitionId(), capacity, with_ids)
-        for b in batches:
+        for b in sliced(batches, 3000):
             ids, lengths = encoder.encode(b.column("text"))
             at = 0
             for doc_id, n in zip(b.column("doc_id").to_pylist(), lengths.tolist()):
@@ -157,6 +166,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
             yield out.take(schema)
         out.flush()
         yield out.take(schema)
+        pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * with_ids)

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tessera.llm import embedding_dedup, packing, quality, sharding, token_output, toxicity
+from tessera.llm import embedding_dedup, packing, quality, sharding, token_output, tokens, toxicity
 from tessera.llm.boosting import fit
 from tessera.llm.queries import public_tokenizer
 from tessera.llm.tokens import TextEncoder
@@ -46,6 +46,16 @@ def test_encoder_agrees_with_the_library(path):
             assert got.tolist() == _ids(path, text), repr(text)
 
 
+def test_encoder_gives_the_same_in_slices(monkeypatch):
+    texts = pa.array(["skip", *[f"word{i} and {i} more,\nlines {i % 7}" for i in range(300)], None, "", " a"]).slice(1)
+    for path in (BYTES, WORDS):
+        whole = TextEncoder(path).encode(texts)
+        with monkeypatch.context() as m:
+            m.setattr(tokens, "SLICE", 500)
+            parts = TextEncoder(path, 100).encode(texts)
+        assert all(np.array_equal(a, b) for a, b in zip(whole, parts))
+
+
 def test_best_fill_is_optimal():
     rng = random.Random(6)
     for _ in range(300):
