@@ -17,8 +17,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Distinct pieces kept per process, about 250 bytes each.
-LIMIT = 1_200_000
+#: Distinct pieces kept per process, about 250 bytes each, and bytes of text encoded at a time.
+LIMIT, SLICE = 700_000, 16 << 20
 _PUNCT = string.punctuation
 _OTHER_SPACE = r"[\t\x0B\x0C\r\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 _OPEN: dict[str, "TextEncoder"] = {}
@@ -49,10 +49,10 @@ class TextEncoder:
         self.newline = self._raw("\n")
 
     @classmethod
-    def open(cls, path: str) -> "TextEncoder":
+    def open(cls, path: str, limit: int = LIMIT) -> "TextEncoder":
         """One encoder per path and worker process."""
         if path not in _OPEN:
-            _OPEN[path] = cls(path)
+            _OPEN[path] = cls(path, limit)
         return _OPEN[path]
 
     def _clear(self) -> None:
@@ -161,6 +161,12 @@ class TextEncoder:
         if not len(texts):
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         texts = pc.fill_null(texts, "")
+        group = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64)) // SLICE
+        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(texts)]
+        parts = [self._slice(texts.slice(a, b - a)) for a, b in zip(cuts, cuts[1:])]
+        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+
+    def _slice(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if self.word_ends:
             return self._by_pieces(texts)
         whole = pc.match_substring_regex(texts, _OTHER_SPACE)
