@@ -71,6 +71,11 @@ def _requests(spark: SparkSession, d: str) -> DataFrame:
     return mapped(spark, d, REQUESTS, "events")
 
 
+def _digested(rows: DataFrame, key: str, column: str) -> DataFrame:
+    """Length and digest of a column that is too wide to compare."""
+    return rows.select(key, F.length(column).cast("long").alias("n"), F.md5(F.col(column).cast("binary")).alias("digest"))
+
+
 # Pure functions ---------------------------------------------------------------------------------
 
 _TAGS = r"(?:<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->|<[^>]*>)+"
@@ -133,6 +138,17 @@ def header_format(spark, d):
     return rows.select("id", text_fn.header(F.left("text", F.lit(30)), *(F.col(c) for c in ("daireKurul", "esasNo", "kararNo", "kararTarihi"))).alias("page"))
 
 
+@_query(
+    "header_format_whole",
+    f"{_WITH} SELECT id, length(page) AS n, md5(page) AS digest FROM (SELECT id, coalesce(daireKurul, 'None') || ' | E: ' || coalesce(esasNo, 'None') || ' K: ' || coalesce(kararNo, 'None') "
+    f"|| ' | ' || coalesce(kararTarihi, 'None') || {_NL} || repeat('=', 60) || {_NL} || {_NL} || text AS page FROM idx)",
+)
+def header_format_whole(spark, d):
+    """Length and digest of each page: the header and the whole text."""
+    page = text_fn.header(*(F.col(c) for c in ("text", "daireKurul", "esasNo", "kararNo", "kararTarihi")))
+    return _digested(_index(spark, d).select("id", page.alias("page")), "id", "page")
+
+
 _SECONDS = "CAST(o_orderkey * 7 % 9000 AS BIGINT)"
 
 
