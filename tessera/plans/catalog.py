@@ -118,6 +118,19 @@ def strip_collapse(spark, d):
     return table(spark, d, "documents").select("doc_id", text_fn.strip(text_fn.collapse_breaks(ragged)).alias("text"))
 
 
+_RAGGED_WHOLE = _RAGGED.replace("left(text, 40)", "text")
+
+
+@_query(
+    "strip_collapse_whole",
+    "SELECT doc_id, length(text) AS n, md5(text) AS digest FROM (SELECT doc_id, " + _strip(f"regexp_replace({_RAGGED_WHOLE}, '\\n{{3,}}', {_NL} || {_NL}, 'g')") + " AS text FROM documents)",
+)
+def strip_collapse_whole(spark, d):
+    """Length and digest of each whole text between ragged ends, collapsed and stripped."""
+    ragged = F.concat(F.lit(" \n"), F.col("text"), F.repeat(F.lit("\n"), (2 + F.col("doc_id") % 4).cast("int")), F.lit("end\t "))
+    return _digested(table(spark, d, "documents").select("doc_id", text_fn.strip(text_fn.collapse_breaks(ragged)).alias("text")), "doc_id", "text")
+
+
 @_query("iso_date", f"{_WITH} SELECT id, {_ISO} AS iso FROM idx")
 def iso_date(spark, d):
     return _index(spark, d).select("id", dates.iso_date(F.col("kararTarihi")).alias("iso"))
