@@ -190,15 +190,20 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, one_in: int = 20, max_bytes: int = MAX_BYTES) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated, with all their columns.
+    """The rows of ``docs`` that are not contaminated, with all their columns; each row is judged by its own text.
 
     With one automaton the texts are read once and nothing is shuffled. A benchmark over ``max_bytes``
-    needs a scan per group; its hits meet the rows again by id, and rows without an id are kept.
+    needs a scan per group: the rows are written once with a key of their own, by which the hits meet
+    them again, so null and repeated ids make no difference.
     """
     items = _items(benchmark)
     if _size(items) > max_bytes:
-        found = find_contamination(docs.select("doc_id", "text"), benchmark, window, one_in, max_bytes)
-        return docs.join(found.where("contaminated").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+        key = "_row"
+        while key in map(str.lower, docs.columns):
+            key += "_"
+        rows = materialize(docs.withColumn(key, F.monotonically_increasing_id()), "contamination-rows")
+        found = find_contamination(rows.select(F.col(key).alias("doc_id"), "text"), benchmark, window, one_in, max_bytes)
+        return rows.join(found.where("contaminated").select(F.col("doc_id").alias(key)), key, "left_anti").drop(key)
     shared, tag = docs.sparkSession.sparkContext.broadcast(windows_of([tuple(r) for r in items.collect()], window)), uuid.uuid4().hex
 
     @F.pandas_udf("boolean")

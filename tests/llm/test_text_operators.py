@@ -59,6 +59,17 @@ def test_contamination_against_brute_force(spark, max_bytes):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(k for k, v in want.items() if not v[4])
 
 
+@pytest.mark.parametrize("max_bytes", [1 << 20, 8])
+def test_rows_with_null_and_repeated_ids_are_judged_by_their_own_text(spark, max_bytes):
+    docs = [(None, "a b c"), (None, "clean one"), (1, "a b c"), (1, "clean two"), (1, "clean two"), (2, "x y z"), (2, "x y z"), (3, None), (None, None)]
+    items = spark.createDataFrame([(1, "a b c"), (2, "x y z"), (3, "q r s")], "item_id long, text string")
+    rows = _docs(spark, docs).withColumn("_row", F.lit(7))
+    kept = decontaminate.drop_contaminated(rows, items, 3, 2, max_bytes)
+    assert kept.columns == rows.columns
+    want = [(i, t, "w", 1, 2, 3, "l", 4, 5, 7) for i, t in docs if t not in ("a b c", "x y z")]
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted(want, key=str)
+
+
 def test_contamination_of_empty_tables(spark):
     none, items = _docs(spark, []), spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.find_contamination(none, items).count() == 0
