@@ -80,6 +80,11 @@ class BloomFilter:
 
 
 def probably_unseen(docs: DataFrame, seen: DataFrame, key: str, order: list, limits: Seen = Seen()) -> DataFrame:
-    """Like ``unseen`` with a Bloom filter for the published keys: a small share of new documents is lost."""
+    """Like ``unseen``, with a Bloom filter before the published keys; what it takes for published is looked up exactly.
+
+    The filter keeps its size however many keys it takes: an overfull one makes more look-ups, and loses no document.
+    """
     bloom = BloomFilter(limits).add(seen, key)
-    return first_wins(docs.where(~F.coalesce(bloom.may_hold(docs.sparkSession, F.col(key)), F.lit(False))), key, order)
+    flagged = docs.withColumn("_maybe", F.coalesce(bloom.may_hold(docs.sparkSession, F.col(key)), F.lit(False)))
+    known = seen.select(F.col(key).alias("_seen"))
+    return first_wins(flagged.join(known, F.col("_maybe") & (F.col(key) == F.col("_seen")), "left_anti").drop("_maybe"), key, order)

@@ -73,6 +73,14 @@ def test_bloom_filter_has_no_false_negatives_and_few_false_positives(spark):
     assert new.where(bloom.may_hold(spark, F.col("key"))).count() < 300
 
 
+def test_an_overfull_bloom_filter_loses_no_document(spark):
+    docs = spark.range(4000).select(F.col("id").alias("n"), F.when(F.col("id") % 1000 != 999, F.concat(F.lit("k"), F.col("id") % 2000)).alias("key"))
+    seen = docs.where("n % 2 = 0").select("key").distinct()
+    want = sorted(r["n"] for r in dedup.unseen(docs, seen, "key", [F.col("n")]).collect())
+    got = dedup.probably_unseen(docs, seen, "key", [F.col("n")], Seen(20, 0.001))
+    assert got.columns == docs.columns and sorted(r["n"] for r in got.collect()) == want and len(want) == 999
+
+
 def test_row_cap_counts_physical_lines(spark):
     lines = spark.createDataFrame([(0, "a"), (1, " "), (2, "b"), (3, ""), (4, "c"), (5, "d")], "line_no long, value string")
     take = lambda start, most: [r["line_no"] for r in resume.lines_window(lines, start, most).orderBy("line_no").collect()]
