@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.dates import day_of
 from tessera.functions.text import has_words
+from tessera.session import materialize
 
 #: What the sort codes order by.
 SORT_CODES = {1: "case_order", 2: "decision_order", 3: "decided"}
@@ -64,6 +66,19 @@ def ordered(df: DataFrame, code: int = 3, direction: str = "desc", tie: str = "i
     return df.orderBy(col.asc() if direction == "asc" else col.desc(), F.col(tie))
 
 
+def ranked(rows: DataFrame, name: str = "rank") -> DataFrame:
+    """Rows of an ordered frame with their place, counted from 1.
+
+    The order is written once, with each row's partition and place in it; only the partitions' sizes reach the driver.
+    """
+    at = materialize(rows.withColumn("_at", F.monotonically_increasing_id()), "ranked")
+    part = F.shiftright("_at", 33)
+    sizes = sorted(at.groupBy(part.alias("part")).count().collect())
+    before = dict(zip((r["part"] for r in sizes), accumulate((r["count"] for r in sizes), initial=0)))
+    offset = F.get(F.array(*map(F.lit, (before.get(i, 0) for i in range(max(before, default=0) + 1)))), part.cast("int"))
+    return at.withColumn(name, offset.cast("long") + F.col("_at").bitwiseAND((1 << 33) - 1) + 1).drop("_at")
+
+
 def page(df: DataFrame, number: int, size: int = 50) -> DataFrame:
     """One page of an ordered frame, numbered from 1; sizes over the maximum are cut to it."""
     size = max(1, min(size, MAX_PAGE))

@@ -237,6 +237,14 @@ _query("sort_asc", f"{_DEC} SELECT id, decided FROM dec WHERE chamber = 'chamber
 _query("sort_desc", f"{_DEC} SELECT id, decided FROM dec WHERE chamber = 'chamber 1' ORDER BY case_order DESC, id LIMIT 100")(_ordered_ids(1, "desc"))
 
 
+def _ranked_ids(code: int, direction: str):
+    return lambda spark, d: search.ranked(search.ordered(_decisions(spark, d), code, direction).select("id", "decided"))
+
+
+_query("sort_asc_ranked", f"{_DEC} SELECT row_number() OVER (ORDER BY dec.decided, id) AS rank, id, decided FROM dec")(_ranked_ids(3, "asc"))
+_query("sort_desc_ranked", f"{_DEC} SELECT row_number() OVER (ORDER BY case_order DESC, id) AS rank, id, decided FROM dec")(_ranked_ids(1, "desc"))
+
+
 @_query("page_n", f"{_DEC} SELECT id, decided FROM dec ORDER BY dec.decided DESC, id LIMIT 50 OFFSET 150")
 def page_n(spark, d):
     return search.page(search.ordered(_decisions(spark, d)), 4, 50).select("id", "decided")
