@@ -182,6 +182,16 @@ def url_quote(spark, d):
     return table(spark, d, "documents").select("doc_id", text_fn.url_quote(phrase).alias("quoted"))
 
 
+_PHRASE_WHOLE = "text || ' a/b?c=~d*(e)'"
+
+
+@_query("url_quote_whole", f"SELECT doc_id, length(quoted) AS n, md5(quoted) AS digest FROM (SELECT doc_id, replace(replace(url_encode({_PHRASE_WHOLE}), '%2F', '/'), '%7E', '~') AS quoted FROM documents)")
+def url_quote_whole(spark, d):
+    """Length and digest of each whole text, quoted."""
+    quoted = text_fn.url_quote(F.concat("text", F.lit(" a/b?c=~d*(e)")))
+    return _digested(table(spark, d, "documents").select("doc_id", quoted.alias("quoted")), "doc_id", "quoted")
+
+
 @_query(
     "message_parts",
     "SELECT event_id, coalesce(message LIKE '%reCaptcha%' OR message LIKE '%Captcha%', false) AS challenge, left(repeat('x' || event_id, 60), 200) AS cut, "
