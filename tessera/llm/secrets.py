@@ -6,6 +6,10 @@ The scan adds ``entropy`` spans: candidate strings of 20 or more key characters
 20 characters reaches the Shannon entropy set for the candidate's character class. A window slides one
 character at a time; only the counts of the character that leaves and of the one that enters change the
 running sum of n log2 n. Candidates that overlap a base span or match the allow list are suppressed.
+Gates: a candidate holds a digit or letters of both cases; one without a digit must reach 3.9 bits, others
+3.0 (hexadecimal), 3.6 (letters and digits) or 3.8; ``ALLOW`` names what is passed over, paths among it:
+three segments of letters anywhere, or three at the start that hold no capital but their first sign. So
+keys of letters of one case, and keys that stay under their bar in every window, get no entropy span.
 
 Spans are code point offsets, end exclusive. Defined results: a null or empty text has no spans; every
 row is scanned for itself, repeated rows and rows with a null id included; an empty table gives no rows;
@@ -22,15 +26,16 @@ from pyspark.sql import functions as F
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{20,}={0,2}"
+#: With a digit, or with letters of both cases.
+CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9]|[+/_-]*(?:[a-z][a-z+/_-]*[A-Z]|[A-Z][A-Z+/_-]*[a-z]))[A-Za-z0-9+/_-]{20,}={0,2}"
 
 WINDOW = 20
 #: Least entropy, in bits, of some window, by character class; the first class that fits counts.
-CLASSES = (("hex", r"^[0-9a-fA-F]+$", 3.0), ("alnum", r"^[A-Za-z0-9]+$", 3.6), ("base64", r"", 3.8))
+CLASSES = (("letters", r"^[A-Za-z+/_-]+={0,2}$", 3.9), ("hex", r"^[0-9a-fA-F]+$", 3.0), ("alnum", r"^[A-Za-z0-9]+$", 3.6), ("base64", r"", 3.8))
 #: Candidates that are not secrets: numbers, UUIDs, placeholders, alphabets, and paths.
 ALLOW = (
     r"^[0-9_/+-]+$|^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$|(?i)example|sample|dummy|placeholder|changeme|redacted|test_?key|xxxx"
-    r"|(?i)abcdefghij|0123456789|1234567890|^/|(/[A-Za-z_-]{2,}){3}"
+    r"|(?i)abcdefghij|0123456789|1234567890|(/[A-Za-z_-]{2,}){3}|(?-i)^(/[A-Z]?[a-z0-9_-]{2,}){3}"
 )
 KINDS = ("assign", "access", "hex", "entropy")
 _SPAN = "struct<start:int,rank:int,kind:string,end:int>"

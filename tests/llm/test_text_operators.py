@@ -158,6 +158,15 @@ def test_entropy_spans_and_allow_list(spark):
     assert got[5] == [("assign", 0, 6 + len(key))]
 
 
+def test_entropy_spans_of_letters_and_of_keys_with_a_slash(spark):
+    letters, slash = "qZpLmXvRtKsWyBnHdGfJcTeUa", "/q7Zp1LmX9vRt4KsW2yBn8Hd+Gf"
+    docs = [(1, f"use {letters} now"), (2, f"use {slash} now"), (3, "/usr/local/lib64/python3/site"), (4, "/Users/Shared/docs2/report2024"), (5, letters.lower()), (6, "Thelongestwordsofproseareplain"), (7, f"x {letters[:12]}/{letters[12:]}== y")]
+    got = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"]] for r in secrets.find_secrets(_docs(spark, docs)).collect()}
+    assert got[1] == [("entropy", 4, 4 + len(letters))] and got[2] == [("entropy", 4, 4 + len(slash))] and got[7] == [("entropy", 2, 2 + len(letters) + 3)]
+    assert got[3] == got[4] == got[5] == got[6] == []
+    assert {r["doc_id"]: r["text"] for r in secrets.redact(_docs(spark, docs).select("doc_id", "text")).collect()}[2] == "use [SECRET] now"
+
+
 def test_redaction_keeps_rows_and_columns(spark):
     docs = spark.createDataFrame([(1, 'a é password = "hunter22" z', 27), (2, None, None), (3, "clean", 5)], "doc_id long, text string, n_chars long")
     got = secrets.redact(docs)
