@@ -4,8 +4,9 @@ ORC keeps integers run-length encoded in stripes, with row indexes and Bloom fil
 readers work stripe by stripe and skip stripes and row groups that cannot hold an id.
 
 Defined results: a null or empty text has only the end id; rows with a null id sort first; rows with
-one id sort by text, so their order is fixed; an empty table gives no rows; other columns are ignored.
-Documents are dealt by ranges of doc_id; one task streams its range in order, whatever its texts' length.
+one id sort by a hash of the text, then by the text, so their order is fixed; an empty table gives no
+rows; other columns are ignored. Documents are dealt by ranges of id and hash, so that rows of one id are
+split too; one task streams its range in order, whatever its texts' length.
 """
 
 from __future__ import annotations
@@ -18,8 +19,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.arrow import sliced
-from tessera.llm.tokens import TextEncoder
+from tessera.llm.arrow import give_back, sliced
+from tessera.llm.tokens import SLICE, TextEncoder
 from tessera.session import scratch_path
 
 END_ID = 1
@@ -40,7 +41,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
 
     def run(batches):
         encoder, part, before = TextEncoder.open(tokenizer), TaskContext.get().partitionId(), 0
-        for b in sliced(batches, 3000):
+        for b in sliced(batches, 3000, 2 * SLICE):
             ids, lengths = encoder.encode(b.column("text"))
             ends = np.cumsum(lengths)
             ids = np.insert(ids, ends, end_id).astype(np.int32)
@@ -52,11 +53,11 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
                 [b.column("doc_id"), lists, pa.array(lengths + 1), pa.array(np.full(len(lengths), part, np.int32)), pa.array(before + offsets[:-1])], schema=schema
             )
             before += int(offsets[-1])
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ordered = rows.repartitionByRange(F.col("doc_id")).sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(run, _FILE).write.options(**ORC_OPTIONS).orc(path)
+    ordered = rows.withColumn("_hash", F.xxhash64("text")).repartitionByRange("doc_id", "_hash").sortWithinPartitions("doc_id", "_hash", "text")
+    ordered.select("doc_id", "text").mapInArrow(run, _FILE).write.options(**ORC_OPTIONS).orc(path)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
@@ -80,7 +81,7 @@ def with_checksums(tokens: DataFrame) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
 
     def run(batches):
-        for b in batches:
+        for b in (x.slice(at, 1000) for x in batches for at in range(0, x.num_rows, 1000)):
             ids = b.column("ids")
             flat = memoryview(ids.flatten().to_numpy().astype("<u4")).cast("B")
             at = (4 * (ids.offsets.to_numpy() - ids.offsets[0].as_py())).tolist()
