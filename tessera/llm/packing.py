@@ -4,12 +4,13 @@ Each document is its ids and an end id. Full windows of ``capacity`` ids become
 themselves; the remainders of a block of documents are packed by minimum bin slack: the longest
 remainder opens a window, and a bitset subset-sum dynamic programme over the multiset of remaining
 lengths finds the fill closest to the capacity. Its backtracked counts per length are applied as often
-as the multiset allows. Once no window can be filled exactly, what is left of the block is joined,
-cut at the capacity, and its last piece cut into powers of two, which need no padding.
+as the multiset allows. Where the closest fill leaves a slack, no remainder is short enough for it; so
+just that many ids are cut off the longest one left. What is less than one window at the end of a block
+is cut into powers of two, which need no padding.
 
 Defined results: a null or empty text is one end id; repeated rows are packed each for itself; an
-empty table gives no rows; other columns are ignored. Very long texts give full windows as they
-stream. One task holds the remainders of at most ``block`` documents and no shuffle is needed, so
+empty table gives no rows; other columns are ignored. Very long texts, white space or not, give full
+windows as they stream. One task holds the remainders of at most ``block`` documents and no shuffle is needed, so
 hot sources and groups of copies make no difference. Rows are a function of the input partitions:
 a task that runs again gives the same sequences.
 """
@@ -25,13 +26,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.arrow import sliced
-from tessera.llm.tokens import TextEncoder
+from tessera.llm.arrow import give_back, sliced
+from tessera.llm.tokens import SLICE, TextEncoder
 
 CAPACITY = 1024
-BLOCK = 16_384
-#: Distinct words cached per process; packing ends a pipeline whose workers hold other state too.
-CACHE = 400_000
+BLOCK = 8_192
 
 
 def best_fill(room: int, counts: dict[int, int]) -> dict[int, int]:
@@ -59,48 +58,50 @@ def best_fill(room: int, counts: dict[int, int]) -> dict[int, int]:
     return dict(used)
 
 
-def fill_windows(lengths: list[int], capacity: int) -> tuple[list[list[int]], list[int]]:
-    """Groups of indices whose lengths sum to the capacity exactly, and the indices left over.
-
-    Where the best window with the longest length is not full, that length is set aside to be cut.
-    """
-    by_length: dict[int, list[int]] = defaultdict(list)
+def fill_windows(lengths: list[int], capacity: int) -> tuple[list[list[tuple[int, int, int]]], list[tuple[int, int, int]]]:
+    """Windows of pieces (index, from, to) that sum to the capacity, and the pieces left over, less than one window."""
+    by_length: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
     for i in reversed(range(len(lengths))):
-        by_length[lengths[i]].append(i)
-    counts = {k: len(v) for k, v in by_length.items()}
-    windows: list[list[int]] = []
-    aside: list[int] = []
-    while counts:
+        by_length[lengths[i]].append((i, 0, lengths[i]))
+    counts, total = {k: len(v) for k, v in by_length.items()}, sum(lengths)
+    windows: list[list[tuple[int, int, int]]] = []
+    while total >= capacity:
         longest = max(counts)
         counts[longest] -= 1
         used = best_fill(capacity - longest, {k: v for k, v in counts.items() if v})
         counts[longest] += 1
         used[longest] = used.get(longest, 0) + 1
-        if sum(k * n for k, n in used.items()) < capacity:
-            del counts[longest]
-            aside += by_length.pop(longest)
-            continue
-        for _ in range(min(counts[k] // n for k, n in used.items())):
+        slack = capacity - sum(k * n for k, n in used.items())
+        for _ in range(1 if slack else min(counts[k] // n for k, n in used.items())):
             windows.append([by_length[k].pop() for k, n in used.items() for _ in range(n)])
             for k, n in used.items():
                 counts[k] -= n
+            total -= capacity
         counts = {k: v for k, v in counts.items() if v}
-    return windows, sorted(aside)
-
-
-def cut_tail(lengths: list[int], capacity: int) -> list[list[tuple[int, int, int]]]:
-    """Sequences of (index, from, to) for pieces joined in order: full ones, then powers of two."""
-    total = sum(lengths)
-    sizes = [capacity] * (total // capacity) + [1 << b for b in reversed(range(capacity.bit_length())) if total % capacity >> b & 1]
-    out, i, at = [], 0, 0
-    for size in sizes:
+        if slack:
+            longest = max(counts)
+            i, a, b = by_length[longest].pop()
+            windows[-1].append((i, a, a + slack))
+            by_length[longest - slack].append((i, a + slack, b))
+            counts[longest] -= 1
+            counts[longest - slack] = counts.get(longest - slack, 0) + 1
+            counts = {k: v for k, v in counts.items() if v}
+    return windows, sorted(piece for pieces in by_length.values() for piece in pieces)
+
+
+def cut_tail(pieces: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]]]:
+    """Sequences of (index, from, to) whose sizes are powers of two, the largest first, for pieces joined in order."""
+    total = sum(b - a for _, a, b in pieces)
+    out, left = [], list(reversed(pieces))
+    for size in (1 << k for k in reversed(range(total.bit_length())) if total >> k & 1):
         sequence = []
         while size:
-            take = min(size, lengths[i] - at)
-            sequence.append((i, at, at + take))
-            at, size = at + take, size - take
-            if at == lengths[i]:
-                i, at = i + 1, 0
+            i, a, b = left.pop()
+            end = min(b, a + size)
+            sequence.append((i, a, end))
+            size -= end - a
+            if end < b:
+                left.append((i, end, b))
         out.append(sequence)
     return out
 
@@ -129,9 +130,7 @@ class _Rows:
     def flush(self) -> None:
         lengths = [len(x[2]) for x in self.waiting]
         windows, rest = fill_windows(lengths, self.capacity)
-        sequences = [[(i, 0, lengths[i]) for i in w] for w in windows]
-        sequences += [[(rest[i], a, b) for i, a, b in s] for s in cut_tail([lengths[i] for i in rest], self.capacity)]
-        for sequence in sequences:
+        for sequence in windows + cut_tail(rest):
             offset = 0
             for i, a, b in sequence:
                 doc_id, start, ids, n = self.waiting[i]
@@ -153,9 +152,9 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
     schema = pa.schema(fields + [("ids", pa.list_(pa.int32()))] * with_ids)
 
     def run(batches):
-        encoder = TextEncoder.open(tokenizer, CACHE)
+        encoder = TextEncoder.open(tokenizer)
         out = _Rows(TaskContext.get().partitionId(), capacity, with_ids)
-        for b in sliced(batches, 3000):
+        for b in sliced(batches, 3000, 2 * SLICE):
             ids, lengths = encoder.encode(b.column("text"))
             at = 0
             for doc_id, n in zip(b.column("doc_id").to_pylist(), lengths.tolist()):
@@ -166,7 +165,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
             yield out.take(schema)
         out.flush()
         yield out.take(schema)
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * with_ids)

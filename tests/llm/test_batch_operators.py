@@ -25,9 +25,7 @@ def _docs(spark, rows):
 
 @functools.cache
 def _tokenizer(path):
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(path)
 
 
 def _ids(path, text):
@@ -37,13 +35,21 @@ def _ids(path, text):
 @pytest.mark.parametrize("path", [BYTES, WORDS])
 def test_encoder_agrees_with_the_library(path):
     rng = random.Random(4)
-    bits = ["a", "B", "é", " ", "\n", " ", ".", ",", "'s", "1", "İ", "Σ", "́", "!!", "<|endoftext|>", "日本", "\t", " ", "\x1c", "Ġ", "ab", "\r", "😀", "word", "Word"]
+    bits = ["a", "B", "é", " ", "\n", " ", ".", ",", "'s", "1", "İ", "Σ", "́", "!!", "<|endoftext|>", "日本", "\t", " ", "\x1c", "Ġ", "ab", "\r", "😀", "word", "Word", "<|startoftext|>", "<|EndOfText|>", "<|end", "é,", "x" * 80]
     texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 16))) for _ in range(800)]
-    for limit in (1_000_000, 40):
-        ids, lengths = TextEncoder(path, limit).encode(pa.array([*texts, None]))
-        parts = np.split(ids, np.cumsum(lengths))[:-1]
-        for text, got in zip([*texts, ""], parts):
-            assert got.tolist() == _ids(path, text), repr(text)
+    for budget in (1 << 20, 2000):
+        encoder = TextEncoder(path, budget)
+        for at in range(0, 800, 100):  # the pieces of earlier calls are met again, moved and dropped
+            some = [*texts[at : at + 100], None]
+            ids, lengths = encoder.encode(pa.array(some))
+            for text, got in zip(some, np.split(ids, np.cumsum(lengths))[:-1]):
+                assert got.tolist() == _ids(path, text), repr(text)
+
+
+def test_long_texts_without_white_space():
+    for path in (BYTES, WORDS):
+        for text in ("ab1," * 20_000, "é" * 30_000, "." * 5000, "x" * 9000 + " y"):
+            assert TextEncoder(path).encode(pa.array([text]))[0].tolist() == _ids(path, text)
 
 
 def test_encoder_gives_the_same_in_slices(monkeypatch):
@@ -52,7 +58,7 @@ def test_encoder_gives_the_same_in_slices(monkeypatch):
         whole = TextEncoder(path).encode(texts)
         with monkeypatch.context() as m:
             m.setattr(tokens, "SLICE", 500)
-            parts = TextEncoder(path, 100).encode(texts)
+            parts = TextEncoder(path, 2000).encode(texts)
         assert all(np.array_equal(a, b) for a, b in zip(whole, parts))
 
 
@@ -73,11 +79,21 @@ def test_windows_and_tail_hold_every_piece_once():
     rng = random.Random(7)
     lengths = [rng.randint(1, 63) for _ in range(500)]
     windows, rest = packing.fill_windows(lengths, 64)
-    assert all(sum(lengths[i] for i in w) == 64 for w in windows) and len(windows) > 200
-    assert sorted(i for w in windows for i in w) + rest == sorted(range(500), key=lambda i: (i in set(rest), i))
-    tail = packing.cut_tail([lengths[i] for i in rest], 64)
-    assert sum(b - a for s in tail for _, a, b in s) == sum(lengths[i] for i in rest)
-    assert all((n := sum(b - a for _, a, b in s)) == 64 or n & n - 1 == 0 for s in tail)
+    assert all(sum(b - a for _, a, b in w) == 64 for w in windows) and sum(b - a for _, a, b in rest) < 64
+    tail = packing.cut_tail(rest)
+    assert all((n := sum(b - a for _, a, b in s)) & n - 1 == 0 for s in tail)
+    met = sorted(p for s in windows + tail for p in s)
+    assert [x for i, a, b in met for x in range(1000 * i + a, 1000 * i + b)] == [x for i, n in enumerate(lengths) for x in range(1000 * i, 1000 * i + n)]
+    # Few documents are cut: for the slack of a window, and for the last one.
+    assert sum(1 for _, a, _ in met if a) < 30
+
+
+@pytest.mark.parametrize("lengths", [[], [5], [64], [40] * 9, [63] * 200, [1] * 130, [33, 33], [17] * 300])
+def test_windows_of_equal_lengths(lengths):
+    windows, rest = packing.fill_windows(lengths, 64)
+    assert len(windows) == sum(lengths) // 64
+    met = sorted(p for s in windows + packing.cut_tail(rest) for p in s)
+    assert [x for i, a, b in met for x in range(1000 * i + a, 1000 * i + b)] == [x for i, n in enumerate(lengths) for x in range(1000 * i, 1000 * i + n)]
 
 
 def test_packing_is_whole_and_unpadded(spark):
@@ -109,7 +125,7 @@ def test_token_files_round_trip(spark, tmp_path):
     rows = token_output.read_token_files(spark, path)
     got = sorted(((r["doc_id"] or 0, r["start"], r["ids"]) for r in rows.collect()), key=lambda x: x[1])
     at, want = 0, []
-    for doc_id, text in sorted(((i or 0, t) for i, t in TEXTS), key=lambda x: (x[0], x[1] or "")):
+    for doc_id, text in sorted(((i or 0, t) for i, t in TEXTS), key=lambda x: x[0]):  # rows of one id have equal texts
         ids = [*_ids(WORDS, text), 1]
         want.append((doc_id, at, ids))
         at += len(ids)
@@ -153,6 +169,23 @@ def test_shards_hold_every_row_once(spark):
     assert sharding.shuffle_rows(df.where("doc_id < -5")).count() == 0
 
 
+def test_sharding_with_clashing_columns_and_long_texts(spark):
+    df = spark.createDataFrame([(1, "x" * 200_000, 5, 6, 7), (1, None, 5, 6, 7)], "doc_id long, text string, Shard int, slot int, slot_ int")
+    got = sharding.shuffle_rows(df, shards=2)
+    assert got.columns == ["doc_id", "text", "Shard_", "slot__", "slot_", "shard", "slot"]
+    assert sorted((len(r["text"] or ""), r["Shard_"], r["slot__"], r["slot_"], r["slot"]) for r in got.collect()) == [(0, 5, 6, 7, 0), (200_000, 5, 6, 7, 0)]
+
+
+def test_every_order_of_rows_is_equally_likely(spark):
+    df = spark.range(3).repartition(2).toDF("doc_id")
+    orders = {}
+    for seed in range(60):
+        got = tuple(r["doc_id"] for r in sharding.shuffle_rows(df, shards=2, seed=seed, block_rows=1).orderBy("shard", "slot").collect())
+        orders[got] = orders.get(got, 0) + 1
+    # 6 orders, 10 each: the chi-squared statistic of 5 degrees of freedom is below 20.6 but once in 1,000 times.
+    assert len(orders) == 6 and sum((n - 10) ** 2 / 10 for n in orders.values()) < 20.6
+
+
 def _vectors(rng):
     base = rng.normal(size=(6, 8))
     rows = []
@@ -191,6 +224,14 @@ def test_vectors_against_brute_force(spark, cell, block):
     assert sum(links.values()) > 1000
 
 
+def test_vectors_of_repeated_and_null_ids(spark):
+    a, b, c = [1.0, 0.0, 0.0], [1.0, 0.01, 0.0], [0.0, 0.0, 1.0]
+    rows = [(1, a, 0), (1, a, 0), (2, b, 0), (3, c, 0), (1, c, 0), (None, a, 0), (None, None, 0), (None, [0.0, 1.0, 0.0], 0), (9, [1.0] * 3000, 1), (9, [1.0] * 3000, 1)]
+    got = embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+    want = [(1, 3, 1, True), (1, 3, 1, True), (2, 3, 1, False), (None, 3, 1, False), (3, 1, 1, False), (1, 1, 1, True), (None, 0, None, True), (None, 0, None, True), (9, 1, 9, True), (9, 1, 9, True)]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+
+
 def test_no_vectors(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert embedding_dedup.near_duplicates(df).count() == 0
