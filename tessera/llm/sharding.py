@@ -7,28 +7,32 @@ exchanged by block, and each block permutes its rows again: every order of the r
 
 No one holds the matrix: a partition draws its own row by walking a binary tree over the partitions, in
 which each node splits its places between its two halves with a generator seeded by the node. Only
-the row counts of the partitions are gathered.
+the row counts of the partitions are gathered. Python sees the places of rows, never the rows.
 
 Law ``rows``: shard sizes differ by at most one row. Every row counts for itself: repeated rows and
 rows of equal text (the groups) are spread like any others, null ids and texts included; an empty
-table gives no rows; other columns are kept by ``shuffle_rows`` under their names. A block holds about
+table gives no rows; all columns are kept by ``shuffle_rows`` under their names, but for one called shard
+or slot, which gets a trailing underscore; texts of any length are only moved. A block holds about
 ``BLOCK_ROWS`` rows whatever their keys, so hot keys make no difference.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 
 import numpy as np
-import pyarrow as pa
-from pyspark import TaskContext
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from tessera.llm.shingles import mix
 
 SHARDS = 8
 BLOCK_ROWS = 1024
 MAX_BLOCKS = 65_536
+#: Bits of ``monotonically_increasing_id`` below the partition's number.
+_ROW_BITS = 33
 #: numpy's hypergeometric draws take populations below this.
 _NUMPY_MOST = 10**9
 
@@ -68,14 +72,25 @@ def matrix_row(counts: list[int], places: np.ndarray, p: int, seed: int) -> np.n
     return here
 
 
+_DEALT: dict[tuple[str, int], np.ndarray] = {}
+
+
+def _blocks(tag: str, p: int, shared, seed: int) -> np.ndarray:
+    """The block of each row of partition ``p``: its counts per block in a random order, the same in every attempt."""
+    if (tag, p) not in _DEALT:
+        counts, places = shared.value
+        row = matrix_row(counts, np.array(places), p, seed) if p < len(counts) else np.zeros(len(places), np.int64)
+        _DEALT.clear()
+        _DEALT[tag, p] = np.random.default_rng([seed, p, 1 << 40]).permutation(np.repeat(np.arange(len(places), dtype=np.int32), row))
+    return _DEALT[tag, p]
+
+
 def shuffle_rows(df: DataFrame, shards: int = SHARDS, seed: int = 7, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """All rows and columns of ``df`` with ``shard`` and ``slot``, its place there, gapless from 0.
 
-    ``df`` must give the same partitions each time it is read, as a scan of files does; a task whose
-    partition changed between the two passes fails rather than give wrong sizes.
+    ``df`` must give the same partitions each time it is read, as a scan of files does; a task that
+    finds more rows than were counted fails rather than give wrong sizes.
     """
-    if {"shard", "slot"} & set(df.columns):
-        raise ValueError("the input already has a column shard or slot")
     found = df.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
     counts = [0] * (1 + max((r["p"] for r in found), default=0))
     for r in found:
@@ -84,30 +99,25 @@ def shuffle_rows(df: DataFrame, shards: int = SHARDS, seed: int = 7, block_rows:
     per_shard = max(1, min(MAX_BLOCKS // shards, math.ceil(total / shards / block_rows)))
     sizes = [total // shards + (s < total % shards) for s in range(shards)]
     places = [size // per_shard + (k < size % per_shard) for size in sizes for k in range(per_shard)]
-    shared = df.sparkSession.sparkContext.broadcast((counts, places))
+    shared, tag = df.sparkSession.sparkContext.broadcast((counts, places)), uuid.uuid4().hex
     names = [f"_c{i}" for i in range(len(df.columns))]
-    plain = df.toDF(*names)
-    schema = T.StructType([*plain.schema.fields, T.StructField("_block", T.IntegerType()), T.StructField("_key", T.LongType()), T.StructField("_at", T.LongType())])
 
-    def run(batches):
-        p = TaskContext.get().partitionId()
-        counts, places = shared.value
-        n = counts[p] if p < len(counts) else 0
-        rng = np.random.default_rng([seed, p, 1 << 40])
-        blocks = rng.permutation(np.repeat(np.arange(len(places), dtype=np.int32), matrix_row(counts, np.array(places), p, seed))) if n else np.zeros(0, np.int32)
-        at = 0
-        for b in batches:
-            m = b.num_rows
-            if at + m > n:
+    @F.pandas_udf("block int, key long")
+    def deal(ids: pd.Series) -> pd.DataFrame:
+        ids = ids.to_numpy()
+        out, keys = np.zeros(len(ids), np.int32), np.zeros(len(ids), np.int64)
+        for p in np.unique(ids >> _ROW_BITS).tolist():
+            own = np.flatnonzero(ids >> _ROW_BITS == p)
+            at, blocks = ids[own] & (1 << _ROW_BITS) - 1, _blocks(tag, p, shared, seed)
+            if at.max() >= len(blocks):
                 raise RuntimeError("an input partition changed between two passes; materialize the input first")
-            keys = rng.integers(-(2**63), 2**63 - 1, m, dtype=np.int64)
-            columns = [*b.columns, pa.array(blocks[at : at + m]), pa.array(keys), pa.array((p << 40) + np.arange(at, at + m))]
-            yield pa.RecordBatch.from_arrays(columns, names=[*b.schema.names, "_block", "_key", "_at"])
-            at += m
-        if at != n:
-            raise RuntimeError("an input partition changed between two passes; materialize the input first")
-
-    dealt = plain.mapInArrow(run, schema)
+            out[own] = blocks[at]
+            with np.errstate(over="ignore"):
+                keys[own] = mix(mix(at.astype(np.uint64) + np.uint64(p << _ROW_BITS)) ^ np.uint64(seed * 0x9E3779B97F4A7C15 & 2**64 - 1)).view(np.int64)
+        return pd.DataFrame({"block": out, "key": keys})
+
+    at = df.toDF(*names).withColumn("_at", F.monotonically_increasing_id())
+    dealt = at.withColumn("_dealt", deal("_at")).select(*names, "_at", F.col("_dealt.block").alias("_block"), F.col("_dealt.key").alias("_key"))
     starts = [0] * len(places)
     for b in range(len(places)):
         starts[b] = 0 if b % per_shard == 0 else starts[b - 1] + places[b - 1]
@@ -119,8 +129,16 @@ def shuffle_rows(df: DataFrame, shards: int = SHARDS, seed: int = 7, block_rows:
     else:
         table = df.sparkSession.createDataFrame(list(enumerate(starts)), "_block int, _start long")
         placed = ranked.join(F.broadcast(table), "_block").withColumn("slot", F.col("_start") + F.col("_rank"))
-    columns = [F.col(n).alias(old) for n, old in zip(names, df.columns)]
-    return placed.select(*columns, (F.col("_block") / F.lit(per_shard)).cast("int").alias("shard"), "slot")
+    return placed.select(*[F.col(n).alias(_free(old, df.columns)) for n, old in zip(names, df.columns)], (F.col("_block") / F.lit(per_shard)).cast("int").alias("shard"), "slot")
+
+
+def _free(name: str, taken: list[str]) -> str:
+    """``name``, with underscores where it would clash with the columns added."""
+    if name.lower() not in ("shard", "slot"):
+        return name
+    while (name := name + "_").lower() in map(str.lower, taken):
+        pass
+    return name
 
 
 def shard_digest(sharded: DataFrame) -> DataFrame:
