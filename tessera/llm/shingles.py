@@ -1,21 +1,22 @@
 """Hashed word shingles of whole texts, vectorised over a batch.
 
-Words are maximal runs of bytes other than ASCII white space, A-Z lower-cased. A word's hash is a
-polynomial over its bytes modulo 2^64, taken from prefix sums, and mixed with its length; a shingle's is
-a mixed linear form of the hashes of its words. A text of fewer words than the width, but at least one,
-is one shingle of all its words. Two different shingles share a hash with a probability of about 2^-64.
+Words are maximal runs of bytes other than ASCII white space, A-Z lower-cased. Each distinct word of a
+chunk is hashed once, to 64 bits by XXH3; a shingle's hash is a mixed linear form, with odd factors, of
+the hashes of its words. A text of fewer words than the width, but at least one, is one shingle of all
+its words. For words whose hashes behave like random numbers two different shingles share a hash with
+a probability of about 2^-64; XXH3 is no cryptographic hash.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+import xxhash
 
 _CHUNK = 1 << 20
-_BASE = 0x9E3779B97F4A7C15 | 1
 _LUT = np.arange(256, dtype=np.uint8)
 _LUT[0x41:0x5B] += 0x20
 _LUT[0x09:0x0E] = 0x20
-_POWERS: list[np.ndarray] = []
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -25,23 +26,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, at least ``n`` of each."""
-    if not _POWERS or len(_POWERS[0]) < n:
-        _POWERS[:] = [np.multiply.accumulate(np.append(np.uint64(1), np.full(max(n, _CHUNK), b, dtype=np.uint64))) for b in (np.uint64(_BASE), np.uint64(pow(_BASE, -1, 1 << 64)))]
-    return _POWERS[0], _POWERS[1]
-
-
 def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each word and the position where it starts."""
     data = _LUT[np.frombuffer(raw, np.uint8)]
     solid = np.concatenate([[False], data != 0x20, [False]])
     edges = np.flatnonzero(solid[1:] != solid[:-1])
     starts, ends = edges[::2], edges[1::2]
-    up, down = _powers(len(data) + 1)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], dtype=np.uint64)])
-    hashes = (sums[ends] - sums[starts]) * down[starts]
-    return mix(hashes + (ends - starts).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)), starts
+    offsets = np.append(0, np.cumsum(ends - starts))
+    kind, small = (pa.binary(), np.int32) if offsets[-1] < 2**31 else (pa.large_binary(), np.int64)
+    words = pa.Array.from_buffers(kind, len(starts), [None, pa.py_buffer(offsets.astype(small)), pa.py_buffer(data[solid[1:-1]])])
+    coded = words.dictionary_encode()
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
+    return hashes[coded.indices.to_numpy()], starts
 
 
 def _sets_of(raws: list[bytes], width: int, levels: np.ndarray | None) -> list[tuple[np.ndarray, np.ndarray | None]]:
