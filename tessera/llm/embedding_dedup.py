@@ -9,10 +9,13 @@ exactly one cell, and cells join independently. Cells over ``block`` vectors are
 hash and joined block by block. A block task returns a count per vector and the edges of a spanning
 forest, never all pairs; equal vectors are one class with a count.
 
+Rows, not ids, are counted: equal vectors of one label are one class, whatever ids they have.
+
 Defined results: vectors that are null, empty, zero or hold null or non-finite components, and rows with
 a null label, have no links and are components by themselves; vectors of different sizes do not link; equal
-vectors of one label link with each other; ids are taken as unique, rows with a null id are left out, as
-no result could name them; an empty table gives no rows; other columns are ignored.
+vectors of one label link with each other, rows that repeat an id included; vectors with a null id link
+like others, but name no component: a component without ids has a null component_id, and all its rows are
+kept; an empty table gives no rows; other columns are ignored; vectors may be of any length.
 The pivots come from a bounded sample of the vectors; every vector is placed.
 """
 
@@ -26,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.plans.components import connected_components
-from tessera.session import materialize
+from tessera.session import discard, materialize
 
 THRESHOLD = 0.98
 CELL, MAX_PIVOTS, BLOCK, PIVOT_SAMPLE = 2048, 64, 512, 2048
@@ -58,7 +61,7 @@ def _place(pivots: np.ndarray, eps: float):
     gaps = np.sqrt(np.maximum(2 - 2 * pivots @ pivots.T, 0))
 
     def run(batches):
-        for b in batches:
+        for b in (x.slice(i, 2000) for x in batches for i in range(0, x.num_rows, 2000)):
             vectors = b.column("embedding")
             sizes = vectors.value_lengths().to_numpy()
             flat, at = vectors.flatten().to_numpy().astype(np.float64), np.append(0, np.cumsum(sizes))
@@ -86,9 +89,9 @@ def _place(pivots: np.ndarray, eps: float):
                 homes += (j == home[i]).tolist()
             take = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [b.column("vec_id").take(take), b.column("label").take(take), b.column("copies").take(take), pa.array(sizes[rows] if rows else [], pa.int32()),
+                [b.column("cls").take(take), b.column("label").take(take), b.column("copies").take(take), pa.array(sizes[rows] if rows else [], pa.int32()),
                  pa.array(cells, pa.int32()), pa.array(homes, pa.bool_()), pa.array([units[r] for r in rows], pa.binary())],
-                names=["vec_id", "label", "copies", "size", "cell", "home", "unit"],
+                names=["cls", "label", "copies", "size", "cell", "home", "unit"],
             )
 
     return run
@@ -108,7 +111,7 @@ def _join_block(threshold: float):
     """applyInArrow function: links inside a block or between two blocks of a cell."""
 
     def run(table: pa.Table) -> pa.Table:
-        ids, copies = table["vec_id"].to_numpy(), table["copies"].to_numpy()
+        ids, copies = table["cls"].to_numpy(), table["copies"].to_numpy()
         side, same = table["side"].to_numpy(), table["same"][0].as_py()
         x = np.frombuffer(b"".join(table["unit"].to_pylist()), np.float64).reshape(len(ids), -1)
         linked = x @ x.T >= threshold
@@ -119,7 +122,7 @@ def _join_block(threshold: float):
         some = np.flatnonzero(linked.any(axis=1))
         linked, ids, copies = linked[np.ix_(some, some)], ids[some], copies[some]
         root = _forest(linked) if len(ids) else np.zeros(0, np.int64)
-        return pa.table({"vec_id": pa.array(ids, pa.int64()), "links": pa.array(linked @ copies if len(ids) else [], pa.int64()), "other": pa.array(ids[root], pa.int64())})
+        return pa.table({"cls": pa.array(ids, pa.int64()), "links": pa.array(linked @ copies if len(ids) else [], pa.int64()), "other": pa.array(ids[root], pa.int64())})
 
     return run
 
@@ -127,28 +130,27 @@ def _join_block(threshold: float):
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, cell: int = CELL, max_pivots: int = MAX_PIVOTS, block: int = BLOCK) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept (whether it is its component's smallest id)."""
     spark = vectors.sparkSession
-    given = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").alias("label"), F.col("embedding").cast("array<double>").alias("embedding")).where("vec_id is not null")
+    given = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
     finite = lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf")))
     usable = F.col("label").isNotNull() & F.col("embedding").isNotNull() & (F.size("embedding") > 0)
     usable &= F.forall("embedding", finite) & F.exists("embedding", lambda v: v != 0)
     keys = [F.xxhash64(F.lit(s), "label", "embedding").alias(n) for s, n in ((1, "k1"), (2, "k2"))]
     valid = given.where(F.coalesce(usable, F.lit(False)))
-    classes = materialize(
-        valid.select("vec_id", "label", *keys).groupBy("label", "k1", "k2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")), "vector-classes"
-    )
-    reps = classes.select(F.col("rep").alias("vec_id"), "copies")
-    chosen = valid.join(reps, "vec_id").select("vec_id", "label", "copies", "embedding")
+    groups = valid.select("vec_id", "label", "embedding", *keys).groupBy("label", "k1", "k2")
+    groups = groups.agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("embedding").alias("embedding"))
+    classes = materialize(groups.withColumn("cls", F.monotonically_increasing_id()), "vector-classes")
+    chosen = classes.select("cls", "label", "copies", "embedding")
     most = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
-    sample = chosen.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOT_SAMPLE).select("embedding").collect() if most else []
+    sample = chosen.orderBy(F.xxhash64("embedding"), "cls").limit(PIVOT_SAMPLE).select("embedding").collect() if most else []
     pivots = choose_pivots([r[0] for r in sample], min(max_pivots, math.ceil(most / cell))) if sample else np.ones((1, 1))
     eps = math.sqrt(max(2 - 2 * threshold, 0))
     placed = materialize(
-        chosen.mapInArrow(_place(pivots, eps), f"vec_id long, label {vectors.schema['label'].dataType.simpleString()}, copies long, size int, cell int, home boolean, unit binary"),
+        chosen.mapInArrow(_place(pivots, eps), f"cls long, label {vectors.schema['label'].dataType.simpleString()}, copies long, size int, cell int, home boolean, unit binary"),
         "vector-cells",
     )
     cells = placed.groupBy("label", "size", "cell").agg(F.ceil(F.count_if("home") / block).cast("int").alias("homes"), F.ceil(F.count_if(~F.col("home")) / block).cast("int").alias("guests"))
     at = placed.join(cells, ["label", "size", "cell"])
-    own = F.pmod(F.xxhash64("vec_id"), F.greatest(F.when(F.col("home"), F.col("homes")).otherwise(F.col("guests")), F.lit(1))).cast("int")
+    own = F.pmod(F.xxhash64("cls"), F.greatest(F.when(F.col("home"), F.col("homes")).otherwise(F.col("guests")), F.lit(1))).cast("int")
     at = at.withColumn("own", own)
     # Homes meet every block of homes, the own one included, and every block of guests; guests meet every block of homes.
     other = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
@@ -158,20 +160,24 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, cell: int
     with_guests = F.transform(other(F.col("guests")), lambda t: task(o, t, True, F.lit(0)))
     as_guest = F.transform(other(F.col("homes")), lambda t: task(t, o, True, F.lit(1)))
     dealt = at.select(
-        "vec_id", "label", "copies", "size", "cell", "unit", F.explode(F.when(F.col("home"), F.concat(with_homes, with_guests)).otherwise(as_guest)).alias("t")
+        "cls", "label", "copies", "size", "cell", "unit", F.explode(F.when(F.col("home"), F.concat(with_homes, with_guests)).otherwise(as_guest)).alias("t")
     ).select("*", "t.a", "t.b", "t.guests", "t.side", (~F.col("t.guests") & (F.col("t.a") == F.col("t.b"))).alias("same")).drop("t")
-    met = dealt.groupBy("label", "size", "cell", "a", "b", "guests").applyInArrow(_join_block(threshold), "vec_id long, links long, other long")
+    met = dealt.groupBy("label", "size", "cell", "a", "b", "guests").applyInArrow(_join_block(threshold), "cls long, links long, other long")
     met = materialize(met, "vector-links")
-    counts = met.groupBy("vec_id").agg(F.sum("links").alias("links"))
-    parts = connected_components(met.select("vec_id", "other"), "vec_id", "other")
-    named = (
-        classes.join(counts, classes["rep"] == counts["vec_id"], "left").drop("vec_id")
-        .join(parts, F.col("rep") == F.col("node"), "left")
-        .select("label", "k1", "k2", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component"))
-    )
+    parts = connected_components(met.select("cls", "other"), "cls", "other").select(F.col("node").alias("cls"), "component")
+    linked = classes.select("cls", "rep").join(met.groupBy("cls").agg(F.sum("links").alias("links")), "cls").join(parts, "cls")
+    linked = linked.join(linked.groupBy("component").agg(F.min("rep").alias("first")), "component").select("cls", "links", "first", F.lit(True).alias("met"))
+    named = materialize(
+        classes.join(linked, "cls", "left").select(
+            "label", "k1", "k2", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.when(F.col("met"), F.col("first")).otherwise(F.col("rep")).alias("component"), F.lit(True).alias("usable")
+        ),
+        "linked-vectors",
+    )
+    for df in (classes, placed, met, parts):
+        discard(df)
     return (
         given.select("vec_id", "label", F.coalesce(usable, F.lit(False)).alias("usable"), *keys)
-        .join(named.withColumn("usable", F.lit(True)), ["label", "k1", "k2", "usable"], "left")
-        .select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"))
-        .withColumn("kept", F.col("vec_id") == F.col("component_id"))
+        .join(named, ["label", "k1", "k2", "usable"], "left")
+        .select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.when(F.col("n_links").isNull(), F.col("vec_id")).otherwise(F.col("component")).alias("component_id"))
+        .withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.col("component_id").isNull()))
     )
