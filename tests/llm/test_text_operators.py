@@ -167,6 +167,75 @@ def test_entropy_spans_of_letters_and_of_keys_with_a_slash(spark):
     assert {r["doc_id"]: r["text"] for r in secrets.redact(_docs(spark, docs).select("doc_id", "text")).collect()}[2] == "use [SECRET] now"
 
 
+ENTROPY = {"letters": 3.9, "hex": 3.0, "alnum": 3.6, "base64": 3.8}
+
+
+def _all_spans(text):
+    """Base spans and the entropy spans that the docstring of the module describes, by plain Python."""
+    base, more = _base(text), []
+    for m in re.finditer(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}", text or ""):
+        word = m[0].rstrip("=")
+        digit, lower, upper = (any(c in s for c in word) for s in ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
+        if not digit and not (lower and upper) or any(a < m.end() and m.start() < b for a, _, _, b in base):
+            continue
+        kind = "letters" if not digit else "hex" if re.fullmatch("[0-9a-fA-F]+", m[0]) else "alnum" if re.fullmatch("[A-Za-z0-9]+", m[0]) else "base64"
+        if _allowed(m[0]):
+            continue
+        if _entropy(word) >= ENTROPY[kind] - 1e-9:
+            more.append((m.start(), 3, "entropy", m.end()))
+    return sorted(base + more)
+
+
+def _allowed(word):
+    placeholder = r"(?i:example|sample|dummy|placeholder|changeme|redacted|test_?key|xxxx|abcdefghij)|0123456789|1234567890"
+    return bool(
+        re.fullmatch(r"[0-9_/+-]+", word) or re.fullmatch(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", word) or re.search(placeholder, word)
+        or re.search(r"(/[A-Za-z_-]{2,}){3}", word) or re.match(r"(/[A-Z]?[a-z0-9_-]{2,}){3}", word)
+    )
+
+
+def _cases(rng):
+    key = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    kinds = ("0123456789abcdef", "0123456789ABCDEF", "abcdefghij0123", "ABCdefXYZuvw", "abcABC012+/_-", "ab1", "aB", "0123456789-")
+    bits = [" ", "\n", "é", "😀", "=", "==", ":", "token=", "password: ", "/usr/local/lib", "example", "AKIA", "x"]
+    for i in range(1, 1001):
+        parts = [key(rng.choice(kinds), rng.choice([5, 16, 20, 24, 40])) if rng.random() < 0.5 else rng.choice(bits) for _ in range(rng.randint(0, 14))]
+        yield i, "".join(parts)
+
+
+def test_all_spans_and_redaction_against_python(spark):
+    docs = [*_cases(random.Random(12)), (900, None), (901, ""), (902, "same"), (902, "same"), (None, "token=abcdef123 x")]
+    frame = _docs(spark, docs)
+    found = sorted(((r["doc_id"] or -1, r["spans"]) for r in secrets.secret_digest(secrets.find_secrets(frame)).collect()))
+    want = sorted((i or -1, ",".join(f"{k}:{a}:{b}" for a, _, k, b in _all_spans(t))) for i, t in docs)
+    assert found == want and sum("entropy" in s for _, s in found) > 100
+
+    def redacted(text):
+        out, at = [], 0
+        for a, _, _, b in _all_spans(text):
+            if a >= at:
+                out.append(text[at:a])
+            at = max(at, b)
+        return text if text is None else "[SECRET]".join([*out, text[at:]]) if at else text
+
+    got = secrets.redact(frame)
+    assert got.columns == frame.columns
+    assert sorted((r["text"] or "" for r in got.collect())) == sorted(redacted(t) or "" for _, t in docs)
+    none = _docs(spark, [])
+    assert secrets.find_secrets(none).count() == secrets.redact(none).count() == 0
+
+
+def test_many_and_long_candidates(spark):
+    rng = random.Random(13)
+    key = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    long = key("abcdefgABCDEFG0123456789", 100_000)
+    many = " ".join(key("0123456789abcdef", 24) + " " + key("abcdefABCDEF0123", 24) for _ in range(3000))
+    got = {r["doc_id"]: r["spans"] for r in secrets.find_secrets(_docs(spark, [(1, long), (2, many)])).collect()}
+    assert [tuple(s) for s in got[1]] == [(0, 3, "entropy", 100_000)]
+    assert len(got[2]) == 6000 and [s["start"] for s in got[2]] == list(range(0, 150_000, 25))
+    assert secrets.redact(_docs(spark, [(2, many)])).first()["text"] == " ".join(["[SECRET]"] * 6000)
+
+
 def test_redaction_keeps_rows_and_columns(spark):
     docs = spark.createDataFrame([(1, 'a é password = "hunter22" z', 27), (2, None, None), (3, "clean", 5)], "doc_id long, text string, n_chars long")
     got = secrets.redact(docs)
@@ -222,6 +291,14 @@ def test_jaccard_components_against_brute_force(spark, monkeypatch, width, perce
     assert got == want
 
 
+def test_repeated_rows_and_ids_in_the_join(spark):
+    near = " ".join(f"w{i}" for i in range(40))
+    docs = [(1, near), (1, near), (2, near + " more"), (1, "q0 q1 q2 q3 q4 q5"), (None, near), (3, None), (3, "q0 q1 q2 q3 q4 q5"), (4, "lone"), (4, "lone")]
+    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"], r["n_links"]) for r in ngram_join.jaccard_components(_docs(spark, docs), 3, 90).collect()), key=str)
+    want = [(1, 38, 1, 2), (1, 38, 1, 2), (2, 39, 1, 2), (1, 4, 1, 1), (None, 38, None, 0), (3, 0, 3, 0), (3, 4, 1, 1), (4, 1, 4, 1), (4, 1, 4, 1)]
+    assert got == sorted(want, key=str)
+
+
 def test_keep_one_and_empty_tables(spark):
     docs = _docs(spark, [(2, "a b c d e f g"), (1, "a b c d e f g"), (3, "other words in this one here"), (3, "other words in this one here"), (None, "a b c d e f g"), (4, None), (5, None)])
     got = ngram_join.keep_one(docs)
@@ -230,6 +307,40 @@ def test_keep_one_and_empty_tables(spark):
     assert ngram_join.keep_one(_docs(spark, [])).count() == 0
 
 
+def test_keep_one_judges_rows(spark):
+    w, q = " ".join(f"w{i}" for i in range(60)), " ".join(f"q{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, w, 7), (1, q, 8), (2, w + " end", 9), (2, q, 10)], "doc_id long, text string, _row int")
+    got = ngram_join.keep_one(docs)
+    assert got.columns == docs.columns
+    assert sorted((r["doc_id"], r["text"], r["_row"]) for r in got.collect()) == [(1, q, 8), (1, w, 7)]
+
+
+def test_blocks_are_bounded_by_shingles(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "WEIGHT", 10)
+    docs = _family(random.Random(77))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["n_links"]) for r in ngram_join.jaccard_components(_docs(spark, docs), 3, 90, 16).collect()}
+    assert got == _components(_sets(docs, 3), 90)
+
+
+def test_count_tables_add_up_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "FAN_IN", 2)
+    rows = _docs(spark, _family(random.Random(5))).repartition(9).select("doc_id", F.col("text").cast("binary").alias("_utf8")).withColumn("row", F.monotonically_increasing_id())
+    found = ngram_join._signatures(rows, 3, 16).where("part is not null").select("part", "task", "counts").cache()
+    assert found.select("task").distinct().count() > 4
+    shingles, words = ngram_join._tables(found, 16)
+    raws = [r["_utf8"] for r in rows.collect()]
+    assert int(shingles.sum()) == sum(map(len, shingle_sets(raws, 3))) and int(words.sum()) == sum(len((r or b"").split()) for r in raws)
+
+
+def test_shingles_of_alternating_letters_differ():
+    word = "a"
+    while len(word) < 2048:
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    (a,), (b,) = shingle_sets([f"x {word} y".encode()], 3), shingle_sets([f"x {other} y".encode()], 3)
+    assert a[0] != b[0] and shingle_sets([b" X\ty  z\n", b"x y z"], 3)[0][0] == shingle_sets([b"x y z"], 3)[0][0]
+
+
 def test_shingles_of_long_texts_are_whole():
     text = " ".join(f"w{i}" for i in range(300_000)).encode()
     (a,) = shingle_sets([text], 5)
