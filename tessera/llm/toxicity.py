@@ -2,10 +2,11 @@
 
 The chain predicts one category after the other; each later model sees the probabilities of the
 earlier ones. While it is trained, those are out-of-fold predictions, so a later model learns from
-probabilities as uncertain as it will meet. The last link is the label ``toxic`` itself; the earlier
-links are the kinds of abuse in ``CATEGORIES``: a labelled text belongs to a kind if it is toxic and
-holds one of the kind's seed words (fixed values below). Models are trained here, in numpy, on at most
-``sample`` labelled rows chosen by a hash of the id among those with crc32(doc_id as text) mod 5 not 0.
+probabilities as uncertain as it will meet. The last link is the label ``toxic`` itself. The labels name
+no kinds of abuse, so the earlier links are found in the data: the toxic texts of the sample are
+clustered by the words they hold, and a text belongs to a kind if it is toxic and of that cluster. Models
+are trained here, in numpy, on at most ``sample`` labelled rows chosen by a hash of the id among those
+with crc32(doc_id as text) mod 5 not 0.
 
 Defined results: a null or empty text has no words and gets the models' intercepts; each row is scored
 for itself, repeated rows and null ids included; without labels every probability is 0.5 and nothing
@@ -33,11 +34,8 @@ MAX_WORDS = 256
 #: Words longer than this also count by their first bytes, so that compounds of one stem add up.
 STEM = 6
 
-# Seed words of the kinds of abuse.
-CATEGORIES = {
-    "insult": (b"idiot", b"stupid", b"moron", b"clown", b"loser"),
-    "contempt": (b"trash", b"pathetic", b"worthless", b"disgusting", b"scum"),
-}
+#: Earlier links: clusters of the toxic texts.
+KINDS = 2
 
 
 @dataclass(frozen=True)
@@ -106,10 +104,38 @@ def fit_chain(names: tuple[str, ...], words: list[bytes], x: np.ndarray, y: np.n
     return chain
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, categories: dict = CATEGORIES, max_words: int = MAX_WORDS) -> Chain:
+def kinds_of(x: np.ndarray, toxic: np.ndarray, kinds: int, steps: int = 20) -> np.ndarray:
+    """(rows, kinds) of 0 and 1: the toxic rows' clusters by spherical k-means from far-apart rows, large ones first.
+
+    Ties go to the first row or cluster; kinds for which there are too few different rows stay empty.
+    """
+    out, rows = np.zeros((len(x), kinds)), np.flatnonzero((toxic == 1) & (x.sum(axis=1) > 0))
+    if not len(rows):
+        return out
+    unit = x[rows] / np.sqrt(x[rows].sum(axis=1, keepdims=True))
+    centres = [unit[int((unit @ unit.mean(axis=0)).argmax())]]
+    while len(centres) < kinds:
+        near = np.max(unit @ np.array(centres).T, axis=1)
+        if near.min() > 1 - 1e-9:
+            break
+        centres.append(unit[int(near.argmin())])
+    at = np.zeros(len(rows), np.int64)
+    for _ in range(steps):
+        new = (unit @ np.array(centres).T).argmax(axis=1)
+        sums = [unit[new == k].sum(axis=0) for k in range(len(centres))]
+        centres = [s / max(float(np.linalg.norm(s)), 1e-12) for s in sums]
+        if (new == at).all():
+            break
+        at = new
+    for k, cluster in enumerate(np.argsort(-np.bincount(at, minlength=len(centres)), kind="stable").tolist()):
+        out[rows[at == cluster], k] = 1
+    return out
+
+
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, kinds: int = KINDS, max_words: int = MAX_WORDS) -> Chain:
     """Words are chosen, and indicators made, on the executors; bits of at most ``sample`` rows are gathered."""
     chosen = labelled_sample(labels, "toxic", sample)
-    texts = as_bytes(docs, "doc_id").join(F.broadcast(chosen), "doc_id").orderBy("doc_id").limit(sample).select("doc_id", "label", "_utf8")
+    texts = as_bytes(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id").join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "_utf8")
 
     def distinct(batches):
         for b in sliced(batches):
@@ -122,25 +148,22 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, categories:
     # Words by the difference of their shares among toxic and other texts, in standard errors; ties by the word.
     gap = F.abs(F.col("bad") / F.lit(n_bad or 1) - F.col("good") / F.lit(n_good or 1)) / F.sqrt(F.col("bad") + F.col("good"))
     words = [bytes(r["word"]) for r in counts.where("bad + good >= 3").orderBy(gap.desc(), "word").limit(max_words).select("word").collect()]
-    names, at = (*categories, "toxic"), {w: i for i, w in enumerate(words)}
+    at = {w: i for i, w in enumerate(words)}
 
     def bits(batches):
         for b in sliced(batches):
-            sets = [set(w) for w in b.column("words").to_pylist()]
-            x = np.zeros((len(sets), len(at)), dtype=bool)
-            for row, own in enumerate(sets):
-                x[row, [at[w] for w in own & at.keys()]] = True
-            seeds = [[not own.isdisjoint(seed) for own in sets] for seed in categories.values()]
-            packed = np.packbits(np.column_stack([x, *seeds]), axis=1)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("label"), pa.array([r.tobytes() for r in packed], pa.binary())], names=["doc_id", "label", "bits"])
-
-    got = rows.mapInArrow(bits, "doc_id long, label int, bits binary").toArrow().sort_by("doc_id")
+            x = np.zeros((b.num_rows, len(at)), dtype=bool)
+            for row, own in enumerate(b.column("words").to_pylist()):
+                x[row, [at[w] for w in at.keys() & own]] = True
+            packed = [r.tobytes() for r in np.packbits(x, axis=1)]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("label"), pa.array(packed, pa.binary())], names=["doc_id", "label", "bits"])
+
+    got = rows.mapInArrow(bits, "doc_id long, label int, bits binary").orderBy("doc_id", "bits").limit(sample).toArrow()
     discard(rows)
-    width = len(words) + len(categories)
-    raw = np.frombuffer(b"".join(got["bits"].to_pylist()), np.uint8).reshape(len(got), -1) if len(got) else np.zeros((0, -(-width // 8)), np.uint8)
-    flags, toxic = np.unpackbits(raw, axis=1)[:, :width], got["label"].to_numpy().astype(np.float64)
-    y = np.column_stack([toxic * flags[:, len(words) + k] for k in range(len(categories))] + [toxic])
-    return fit_chain(names, words, flags[:, : len(words)], y)
+    raw = np.frombuffer(b"".join(got["bits"].to_pylist()), np.uint8).reshape(len(got), -(-len(words) // 8))
+    x, toxic = np.unpackbits(raw, axis=1)[:, : len(words)].astype(np.float32), got["label"].to_numpy().astype(np.float64)
+    y = np.column_stack([kinds_of(x, toxic, kinds), toxic])
+    return fit_chain((*(f"kind_{k + 1}" for k in range(kinds)), "toxic"), words, x, y)
 
 
 def score(docs: DataFrame, chain: Chain, threshold: float = THRESHOLD) -> DataFrame:
