@@ -8,7 +8,8 @@ ids that are null are scored and count as not held out; repeated rows get equal
 are null or unknown are ignored and an id labelled twice counts as good if any of its rows says so;
 without labels, or with labels of one kind only, every row gets the (clipped) share of good labels, 0.5
 if there is none; an empty table gives no rows. Only the id and the text are read, whatever other
-columns there are. There is no shuffle of texts: labels of the sample are broadcast, at most ``sample``.
+columns there are; long texts are read whole. There is no shuffle of texts: labels of the sample are
+broadcast, at most ``sample``.
 """
 
 from __future__ import annotations
@@ -72,16 +73,17 @@ def labelled_sample(labels: DataFrame, label: str, sample: int) -> DataFrame:
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, **options) -> Forest:
     chosen = labelled_sample(labels, "quality", sample)
-    schema = "label int, stats array<double>"
+    schema = "doc_id long, label int, stats array<double>"
 
     def run(batches):
         for b in sliced(batches):
             x = matrix_of(b.column("_utf8").to_pylist())
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * len(STATISTICS), pa.int32()), pa.array(x.ravel()))
-            yield pa.RecordBatch.from_arrays([b.column("label"), lists], names=["label", "stats"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("label"), lists], names=["doc_id", "label", "stats"])
 
-    texts = as_bytes(docs, "doc_id").join(F.broadcast(chosen), "doc_id").orderBy("doc_id").limit(sample).select("label", "_utf8")
-    got = texts.mapInArrow(run, schema).toArrow()
+    texts = as_bytes(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id").join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "_utf8")
+    # Statistics are made where the texts are; only they meet, at most ``sample`` rows though an id is repeated.
+    got = texts.mapInArrow(run, schema).orderBy("doc_id", F.xxhash64("stats")).limit(sample).toArrow()
     y = got["label"].to_numpy().astype(np.float64)
     x = np.array(got["stats"].to_pylist(), dtype=np.float64).reshape(len(y), len(STATISTICS))
     return fit(x, y, **options)

@@ -246,6 +246,80 @@ def test_trees_learn_an_interaction():
     assert fit(x[:0], y[:0]).probability(x[:2]).tolist() == [0.5, 0.5]
 
 
+def test_forest_against_a_plain_walk_and_exhaustive_splits():
+    rng = np.random.default_rng(7)
+    x, y = rng.integers(0, 12, size=(300, 3)).astype(float), rng.integers(0, 2, 300).astype(float)
+    forest = fit(x, y, trees=5, depth=3)
+    for row, got in zip(x, forest.raw(x)):
+        total = forest.base
+        for feature, threshold, leaf in zip(forest.feature, forest.threshold, forest.leaf):
+            k = 0
+            while k < len(feature):
+                k = 2 * k + (2 if row[feature[k]] > threshold[k] else 1)
+            total += leaf[k - len(feature)]
+        assert abs(total - got) < 1e-12
+    p = np.full(300, y.mean())
+    g, h, best = y - p, p * (1 - p), (-1.0, None)
+    for j in range(3):
+        for t in sorted(set(x[:, j]))[:-1]:
+            right = x[:, j] > t
+            if min(right.sum(), (~right).sum()) >= 5:
+                gain = sum(g[m].sum() ** 2 / (h[m].sum() + 1) for m in (right, ~right)) - g.sum() ** 2 / (h.sum() + 1)
+                best = max(best, (gain, (j, t)), key=lambda b: b[0])
+    j, t = best[1]
+    assert forest.feature[0][0] == j and ((x[:, j] > forest.threshold[0][0]) == (x[:, j] > t)).all()
+
+
+def _plain_statistics(text):
+    raw = (text or "").encode()
+    return [float(v) for v in quality.statistics_of(raw)]
+
+
+def test_quality_query_against_plain_scores(spark):
+    rng = np.random.default_rng(8)
+    texts = [" ".join(rng.choice(["good", "words", "here.", "and", "#$%", "||", "12"], rng.integers(1, 30), p=[0.2, 0.2, 0.1, 0.2, 0.1, 0.1, 0.1])) for _ in range(300)]
+    docs = [(i, t, 1, 2.0) for i, t in enumerate(texts)] + [(500, None, 1, 2.0), (501, "", 1, 2.0), (None, "good", 1, 2.0), (3, texts[3], 1, 2.0), (502, "long " * 200_000, 1, 2.0)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, label int, score double")
+    marks = [(i, int("#" in t)) for i, t in enumerate(texts)]
+    labels = spark.createDataFrame(marks, "doc_id long, quality int")
+    learned = sorted((i, t) for i, t, *_ in docs if i is not None and i < 500 and zlib.crc32(str(i).encode()) % 5)
+    forest = fit(np.array([_plain_statistics(t) for _, t in learned]), np.array([float("#" in t) for _, t in learned]))
+    want = sorted((i if i is not None else -1, float(forest.probability(np.array([_plain_statistics(t)]))[0])) for i, t, *_ in docs)
+    got = sorted((r["doc_id"] if r["doc_id"] is not None else -1, r["score"], r["predicted"]) for r in quality.classify(frame, labels).collect())
+    assert [g[0] for g in got] == [w[0] for w in want] and all(abs(g[1] - w[1]) < 1e-9 and g[2] == (g[1] >= 0.3) for g, w in zip(got, want))
+
+
+def test_toxicity_query_against_plain_scores(spark):
+    rng = np.random.default_rng(9)
+    texts = [" ".join(rng.choice(["fine", "Words", "nasty", "nastiness", "vile", "plain", "thing"], rng.integers(1, 12))) for _ in range(200)]
+    docs = [(i, t, "w", "b", "l") for i, t in enumerate(texts)] + [(500, None, "w", "b", "l"), (None, "nasty", "w", "b", "l"), (3, texts[3], "w", "b", "l"), (501, "nasty " * 100_000, "w", "b", "l")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, words string, bits string, label string")
+    labels = spark.createDataFrame([(i, int("nast" in t or "vile" in t)) for i, t in enumerate(texts)], "doc_id long, toxic int")
+    chain = toxicity.train(frame, labels)
+    sigmoid = lambda z: 1 / (1 + np.exp(-z))
+    want = []
+    for i, text, *_ in docs:
+        words = set((text or "").lower().encode().split())
+        words |= {w[:6] + b"*" for w in words if len(w) > 6}
+        p = []
+        for k in range(len(chain.names)):
+            z = chain.intercepts[k] + sum(chain.weights[k, chain.words[w]] for w in words if w in chain.words) + sum(chain.weights[k, len(chain.words) + j] * p[j] for j in range(k))
+            p.append(sigmoid(z))
+        want.append((i if i is not None else -1, *p))
+    rows = toxicity.detect(frame, labels).collect()
+    got = sorted((r["doc_id"] if r["doc_id"] is not None else -1, *(r[f"p_{n}"] for n in chain.names)) for r in rows)
+    assert np.allclose(np.array(got, float), np.array(sorted(want), float), atol=1e-5)
+    assert sum(r["toxic"] == ("nast" in (r["text"] or "") or "vile" in (r["text"] or "")) for r in toxicity.detect(frame, labels).join(frame, "doc_id").collect()) > 200
+    assert {n for n in chain.names} == {"kind_1", "kind_2", "toxic"}
+
+
+def test_kinds_are_the_clusters_of_toxic_rows():
+    x = np.array([[1, 1, 0, 0], [1, 0, 0, 0], [1, 1, 0, 0], [0, 0, 1, 1], [0, 0, 1, 0], [1, 1, 1, 1], [0, 0, 0, 0]], float)
+    toxic = np.array([1, 1, 1, 1, 1, 0, 1], float)
+    assert toxicity.kinds_of(x, toxic, 2).tolist() == [[1, 0], [1, 0], [1, 0], [0, 1], [0, 1], [0, 0], [0, 0]]
+    assert toxicity.kinds_of(x[:2] * 0 + 1, np.ones(2), 2).tolist() == [[1, 0], [1, 0]] and toxicity.kinds_of(x[:0], toxic[:0], 2).shape == (0, 2)
+
+
 def test_quality_on_held_out_rows(spark, small):
     sf = small.replace("0.001", "0.01")
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
