@@ -1,4 +1,4 @@
-"""Text of HTML pages: an expression for plain pages and an Arrow-batched DOM walk for exact rules."""
+"""Text of HTML pages: an Arrow-batched DOM walk for exact rules, and an expression for plain pages."""
 
 from __future__ import annotations
 
@@ -12,14 +12,20 @@ from pyspark.sql import types as T
 
 from tessera.functions.text import collapse_breaks, strip
 
-_TAGS = r"(?is)(?:<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->|<[^>]*>)+"
+_TAGS = r"(?is)(?:<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->|<[^>]*>)"
+#: Stands for a tag; no character, so no page holds it.
+_MARK = "\uffff"
 #: Entities that the expression decodes; the ampersand comes last, with or without its semicolon.
 _ENTITIES = (("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"))
 
 
 def page_text(html: Column) -> Column:
-    """Visible text of a whole page, each run of text on its own line, without leaving the JVM."""
-    text = F.regexp_replace(html, _TAGS, "\n")
+    """Visible text of a plain page, each run of text on its own line, without leaving the JVM.
+
+    Only pages without ids of their own for the text, and with no entities but the six decoded here, come
+    out as ``dom_text`` gives them. Tags are taken one by one, so that their number does not matter.
+    """
+    text = F.regexp_replace(F.regexp_replace(html, _TAGS, _MARK), f"{_MARK}+", "\n")
     for entity, char in _ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(char))
     return strip(collapse_breaks(F.regexp_replace(text, "&amp;?", "&")))

@@ -7,13 +7,22 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Characters that count as white space at the ends of a text, beyond what Java's Unicode \s holds.
-_EDGE = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+#: Characters that count as white space at the ends of a text.
+EDGE = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+#: Parts of an error message that report a captcha (fixed values).
+CHALLENGES = ("reCaptcha", "Captcha")
+#: The name that stands first in the header of a saved text (fixed value).
+COURT = "Danıştay"
 
 
 def strip(text: Column) -> Column:
     """Without Unicode white space at both ends."""
-    return F.regexp_replace(text, f"^{_EDGE}+|{_EDGE}+$", "")
+    return F.btrim(text, F.lit(EDGE))
+
+
+def has_content(text: Column) -> Column:
+    """Whether anything is left of a text without white space at its ends; stops at the first such sign."""
+    return text.rlike("[^" + "".join(f"\\x{{{ord(c):x}}}" for c in EDGE) + "]")
 
 
 def collapse_breaks(text: Column) -> Column:
@@ -26,9 +35,9 @@ def none_if_null(value: Column) -> Column:
 
 
 def header(text: Column, chamber: Column, case_no: Column, decision_no: Column, date: Column) -> Column:
-    """A line with the decision's particulars, a rule of 60 signs, an empty line, and the text."""
-    parts = [none_if_null(chamber), F.lit(" | E: "), none_if_null(case_no), F.lit(" K: "), none_if_null(decision_no), F.lit(" | "), none_if_null(date)]
-    return F.concat(*parts, F.lit("\n" + "=" * 60 + "\n\n"), text)
+    """A saved text: a line with the decision's particulars, a rule of 60 signs, the text, and a line feed."""
+    parts = [F.lit(f"{COURT} | "), none_if_null(chamber), F.lit(" | E:"), none_if_null(case_no), F.lit(" K:"), none_if_null(decision_no), F.lit(" T:"), none_if_null(date)]
+    return F.concat(*parts, F.lit("\n" + "=" * 60 + "\n"), text, F.lit("\n"))
 
 
 def wait_label(seconds: Column) -> Column:
@@ -47,14 +56,15 @@ def url_quote(text: Column) -> Column:
 
 def is_challenge(message: Column) -> Column:
     """Whether an error message reports a captcha."""
-    return F.coalesce(message.contains("reCaptcha") | message.contains("Captcha"), F.lit(False))
+    return F.coalesce(reduce(lambda a, b: a | b, (message.contains(c) for c in CHALLENGES)), F.lit(False))
 
 
 def has_words(text: Column, words: list[str], how: str = "all") -> Column:
     """Whether a text holds all (or any) of the words as whole tokens, whatever their case."""
     edge, tests = r"[\p{L}\p{N}]", []
     for word in words:
-        tests.append(text.rlike(rf"(?iu)(?<!{edge})\Q{word}\E(?!{edge})"))
+        quoted = word.replace("\\E", r"\E\\E\Q")
+        tests.append(text.rlike(rf"(?iu)(?<!{edge})\Q{quoted}\E(?!{edge})"))
     return reduce(lambda a, b: a & b if how == "all" else a | b, tests)
 
 

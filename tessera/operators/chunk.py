@@ -24,11 +24,17 @@ def chunk_windows(docs: DataFrame, key: str, text: str = "text", settings: Chunk
     are, without a shuffle.
     """
     step = settings.size - settings.overlap
-    at = docs.withColumn("_t", _tokens(F.col(text))).withColumn("_n", F.size("_t"))
-    starts = F.sequence(F.lit(0), F.greatest(F.col("_n") - settings.overlap - 1, F.lit(0)), F.lit(step))
-    kept = F.filter(starts, lambda s: F.least(F.col("_n") - s, F.lit(settings.size)) >= settings.least)
-    at = at.withColumn("_s", kept).select(*docs.columns, "_t", F.size("_s").alias("total_chunks"), F.posexplode("_s").alias("chunk_index", "_at"))
-    return at.select(*docs.columns, "chunk_index", "total_chunks", F.array_join(F.slice("_t", F.col("_at") + 1, settings.size), " ").alias("chunk_text"))
+
+    def windows(tokens: Column) -> Column:
+        left = lambda s: F.size(tokens) - s
+        starts = F.sequence(F.lit(0), F.greatest(left(settings.overlap + 1), F.lit(0)), F.lit(step))
+        kept = F.filter(starts, lambda s: F.least(left(s), F.lit(settings.size)) >= settings.least)
+        return F.transform(kept, lambda s: F.array_join(F.slice(tokens, s + 1, settings.size), " "))
+
+    # The tokens are bound once; only the texts of the windows leave the expression.
+    chunks = F.flatten(F.transform(F.array(_tokens(F.col(text))), windows))
+    at = docs.withColumn("_chunks", chunks)
+    return at.select(*docs.columns, F.size("_chunks").alias("total_chunks"), F.posexplode("_chunks").alias("chunk_index", "chunk_text")).select(*docs.columns, "chunk_index", "total_chunks", "chunk_text")
 
 
 def chunked_documents(docs: DataFrame, settings: Chunking = Chunking()) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessera.config import ERROR_FIELD, SOURCES
 from tessera.functions.dates import iso_date
 from tessera.functions.keys import natural_key
-from tessera.functions.text import is_challenge, strip, url_quote
+from tessera.functions.text import has_content, is_challenge, strip, url_quote
 from tessera.schemas import ENVELOPE, SEARCH_ROWS
 
 PAGE_PATH = "/arama/getDokuman?id="
@@ -22,7 +22,7 @@ def raw_documents(rows: DataFrame, base_url: str, source: Column | str = SOURCES
     source = F.lit(source) if isinstance(source, str) else source
     none = F.lit(None).cast("string")
     text = strip(F.col("text"))
-    return rows.where(text != "").select(
+    return rows.where(has_content(F.col("text"))).select(
         F.concat(source, F.lit(":"), F.col("id")).alias("id"),
         source.alias("kaynak"),
         F.concat(F.lit(base_url + PAGE_PATH), F.col("id")).alias("url"),

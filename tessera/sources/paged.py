@@ -1,28 +1,39 @@
 """A batch source of recorded search pages: one partition per block of pages.
 
 Pages are JSON files ``page-<number>.json`` in a folder, each a response envelope. Simple comparisons are
-taken as filters and tested where the pages are read; an error envelope ends its block.
+taken as filters and tested where the pages are read. An error envelope fails the read and names its
+page, whatever the blocks are; with ``until``, that number, the pages before it are read.
 """
 
 from __future__ import annotations
 
 import json
+import re
 
 from pyarrow import fs
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThanOrEqual, InputPartition, LessThanOrEqual
 
+from tessera.functions.text import CHALLENGES
 from tessera.sources.files import open_path
 
 FIELDS = ("id", "daireKurul", "esasNo", "kararNo", "kararTarihi", "arananKelime")
 
 
+def _number(name: str) -> int:
+    return int(re.search(r"(\d+)\.json$", name)[1])
+
+
 class RefusedError(RuntimeError):
     """The recorded server asked for a captcha: stop, and resume later."""
 
 
+class PageError(RuntimeError):
+    """A page holds an error envelope: nothing may pass for the end of the results."""
+
+
 class PagedSearch(DataSource):
-    """``path``; option ``pagesPerPartition`` (default 8)."""
+    """``path``; options ``pagesPerPartition`` (default 8) and ``until`` (the first page not to be read)."""
 
     @classmethod
     def name(cls) -> str:
@@ -32,7 +43,7 @@ class PagedSearch(DataSource):
         return ", ".join(f"{f} string" for f in FIELDS)
 
     def reader(self, schema) -> "PagedReader":
-        return PagedReader(self.options["path"], int(self.options.get("pagesPerPartition", 8)))
+        return PagedReader(self.options["path"], int(self.options.get("pagesPerPartition", 8)), int(self.options.get("until", 0)))
 
 
 class Block(InputPartition):
@@ -41,8 +52,8 @@ class Block(InputPartition):
 
 
 class PagedReader(DataSourceReader):
-    def __init__(self, path: str, per: int):
-        self.path, self.per, self.equal, self.bounds = path, per, {}, []
+    def __init__(self, path: str, per: int, until: int = 0):
+        self.path, self.per, self.until, self.equal, self.bounds = path, per, until, {}, []
 
     def pushFilters(self, filters: list[Filter]):
         for f in filters:
@@ -56,6 +67,7 @@ class PagedReader(DataSourceReader):
     def partitions(self) -> list[InputPartition]:
         system, p = open_path(self.path)
         names = sorted((i.path for i in system.get_file_info(fs.FileSelector(p)) if i.path.endswith(".json")), key=lambda x: (len(x), x))
+        names = [n for n in names if not self.until or _number(n) < self.until]
         return [Block(names[i : i + self.per]) for i in range(0, len(names), self.per)] or [Block([])]
 
     def _keeps(self, row: dict) -> bool:
@@ -70,9 +82,10 @@ class PagedReader(DataSourceReader):
                 payload = json.loads(f.read().decode("utf-8", "replace"))
             meta = payload.get("metadata") or {}
             if meta.get("FMTY") == "ERROR":
-                if "aptcha" in (meta.get("FMTE") or ""):
-                    raise RefusedError(meta["FMTE"])
-                return
+                message = meta.get("FMTE") or ""
+                if any(c in message for c in CHALLENGES):
+                    raise RefusedError(f"page {_number(name)}: {message}")
+                raise PageError(f"page {_number(name)}: {message}")
             for row in (payload.get("data") or {}).get("data") or []:
                 row = {k: None if row.get(k) is None else str(row[k]) for k in FIELDS}
                 if self._keeps(row):

@@ -90,3 +90,37 @@ def test_search_needs_a_criterion_if_asked():
         search.criteria_predicate(require=True, chamber="")
     with pytest.raises(ValueError):
         search.criteria_predicate(colour="red")
+
+
+def test_saved_text_by_hand(spark):
+    rows = spark.createDataFrame([("5. Daire", "2011/7", "2012/9", "01.02.2012", "body\nend"), (None, None, "1/2", "", "x")], "a string, b string, c string, d string, t string")
+    got = [r[0] for r in rows.select(text.header(*(F.col(c) for c in "tabcd"))).collect()]
+    rule = "============================================================"
+    assert got == [f"Danıştay | 5. Daire | E:2011/7 K:2012/9 T:01.02.2012\n{rule}\nbody\nend\n", f"Danıştay | None | E:None K:1/2 T:\n{rule}\nx\n"]
+
+
+def test_pages_by_hand(spark):
+    many = "<b>x</b>" * 50_000
+    pages = [
+        ("<p>a&nbsp;b &#39;c&#39; &uuml;</p>", "a\xa0b 'c' ü"),
+        ('<div id="content"><p>in</p><script>no</script></div>out', "in"),
+        ('<p id="hiddencontent">&lt;i&gt;deep&lt;/i&gt; &amp;amp; on</p><div id="content">no</div>', "deep\n & on"),
+        ("<style>s</style><p>one</p>\n\n\n\n<p>two</p>", "one\n\ntwo"),
+        ("<i>" * 20_000 + "end", "end"),
+        (many, "\n".join(["x"] * 50_000)),
+        (None, ""),
+        ("", ""),
+    ]
+    frame = spark.createDataFrame([(i, p) for i, (p, _) in enumerate(pages)], "i int, html string").orderBy("i")
+    assert [r[0] for r in frame.select(html.dom_text_udf("html")).collect()] == [t for _, t in pages]
+    assert frame.where("i = 5").select(html.page_text(F.col("html"))).first()[0] == pages[5][1]
+
+
+def test_words_with_regex_signs(spark):
+    rows = spark.createDataFrame([(r"a\Eb (c)",), ("aEb c",)], "t string")
+    assert [r[0] for r in rows.select(text.has_words(F.col("t"), [r"a\Eb"])).collect()] == [True, False]
+
+
+def test_texts_of_white_space_have_no_content(spark):
+    rows = [" \u2028\t\x1f", "", "\u3000.", None, "\n" * 1000 + "x"]
+    assert _apply(spark, rows, text.has_content) == [False, False, True, None, True]

@@ -36,8 +36,16 @@ def test_paged_source_stops_at_a_captcha(spark, tmp_path):
     path = _pages(tmp_path / "p", [_page(1), {"metadata": {"FMTY": "ERROR", "FMTE": "reCaptcha timeout"}}])
     with pytest.raises(Exception, match="reCaptcha timeout"):
         spark.read.format("paged_search").load(path).collect()
-    other = _pages(tmp_path / "q", [_page(1), {"metadata": {"FMTY": "ERROR", "FMTE": "bad"}}, _page(2)])
-    assert [r["id"] for r in spark.read.format("paged_search").load(other).collect()] == ["1"]
+
+
+@pytest.mark.parametrize("per", [1, 2, 8])
+def test_an_error_page_is_named_whatever_the_blocks(spark, tmp_path, per):
+    paged.register(spark)
+    path = _pages(tmp_path / "q", [_page(1), _page(2), {"metadata": {"FMTY": "ERROR", "FMTE": "captcha-like, but bad"}}, _page(3), _page(4)])
+    read = spark.read.format("paged_search").option("pagesPerPartition", per)
+    with pytest.raises(Exception, match="PageError: page 3: captcha-like, but bad"):
+        read.load(path).collect()
+    assert sorted(r["id"] for r in read.option("until", 3).load(path).collect()) == ["1", "2"]
 
 
 def test_envelopes(spark):
