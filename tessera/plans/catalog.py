@@ -87,6 +87,12 @@ _PAGE = f"regexp_replace(regexp_replace({_PAGE}, '&amp;?', '&', 'g'), '\\n{{3,}}
 
 @_query("html_to_text", f"SELECT page_id, {_strip(_PAGE)} AS text FROM pages")
 def html_to_text(spark, d):
+    return table(spark, d, "pages").select("page_id", html.dom_text_udf("html").alias("text"))
+
+
+@_query("html_plain_text", f"SELECT page_id, {_strip(_PAGE)} AS text FROM pages")
+def html_plain_text(spark, d):
+    """The expression without Python; the pages of the tables are plain."""
     return table(spark, d, "pages").select("page_id", html.page_text(F.col("html")).alias("text"))
 
 
@@ -109,21 +115,18 @@ def html_branch_select(spark, d):
     return table(spark, d, "pages").select("page_id", html.dom_text_udf(page).alias("text"))
 
 
-_RAGGED = "chr(160) || chr(10) || left(text, 40) || repeat(chr(10), CAST(2 + doc_id % 4 AS INT)) || 'end' || chr(9) || chr(8232)"
+_RAGGED = "chr(160) || chr(10) || text || repeat(chr(10), CAST(2 + doc_id % 4 AS INT)) || 'end' || chr(9) || chr(8232)"
 
 
 @_query("strip_collapse", f"SELECT doc_id, {_strip('regexp_replace(' + _RAGGED + ', ' + chr(39) + chr(92) + 'n{3,}' + chr(39) + ', chr(10) || chr(10), ' + chr(39) + 'g' + chr(39) + ')')} AS text FROM documents")
 def strip_collapse(spark, d):
-    ragged = F.concat(F.lit(" \n"), F.left("text", F.lit(40)), F.repeat(F.lit("\n"), (2 + F.col("doc_id") % 4).cast("int")), F.lit("end\t "))
+    ragged = F.concat(F.lit(" \n"), F.col("text"), F.repeat(F.lit("\n"), (2 + F.col("doc_id") % 4).cast("int")), F.lit("end\t "))
     return table(spark, d, "documents").select("doc_id", text_fn.strip(text_fn.collapse_breaks(ragged)).alias("text"))
 
 
-_RAGGED_WHOLE = _RAGGED.replace("left(text, 40)", "text")
-
-
 @_query(
     "strip_collapse_whole",
-    "SELECT doc_id, length(text) AS n, md5(text) AS digest FROM (SELECT doc_id, " + _strip(f"regexp_replace({_RAGGED_WHOLE}, '\\n{{3,}}', {_NL} || {_NL}, 'g')") + " AS text FROM documents)",
+    "SELECT doc_id, length(text) AS n, md5(text) AS digest FROM (SELECT doc_id, " + _strip(f"regexp_replace({_RAGGED}, '\\n{{3,}}', {_NL} || {_NL}, 'g')") + " AS text FROM documents)",
 )
 def strip_collapse_whole(spark, d):
     """Length and digest of each whole text between ragged ends, collapsed and stripped."""
@@ -141,25 +144,27 @@ def natural_key(spark, d):
     return _raw(spark, d).select("id", normalize.document_key().alias("key"))
 
 
-@_query(
-    "header_format",
-    f"{_WITH} SELECT id, coalesce(daireKurul, 'None') || ' | E: ' || coalesce(esasNo, 'None') || ' K: ' || coalesce(kararNo, 'None') || ' | ' || coalesce(kararTarihi, 'None') "
-    f"|| {_NL} || repeat('=', 60) || {_NL} || {_NL} || left(text, 30) AS page FROM idx",
+_SAVED = (
+    "'Danıştay | ' || coalesce(daireKurul, 'None') || ' | E:' || coalesce(esasNo, 'None') || ' K:' || coalesce(kararNo, 'None') || ' T:' || coalesce(kararTarihi, 'None') "
+    f"|| {_NL} || repeat('=', 60) || {_NL} || text || {_NL}"
 )
+
+
+def _saved(spark, d):
+    page = text_fn.header(*(F.col(c) for c in ("text", "daireKurul", "esasNo", "kararNo", "kararTarihi")))
+    return _index(spark, d).select("id", page.alias("page"))
+
+
+@_query("header_format", f"{_WITH} SELECT id, {_SAVED} AS page FROM idx")
 def header_format(spark, d):
-    rows = _index(spark, d)
-    return rows.select("id", text_fn.header(F.left("text", F.lit(30)), *(F.col(c) for c in ("daireKurul", "esasNo", "kararNo", "kararTarihi"))).alias("page"))
+    """Each saved text, whole: header, rule, text."""
+    return _saved(spark, d)
 
 
-@_query(
-    "header_format_whole",
-    f"{_WITH} SELECT id, length(page) AS n, md5(page) AS digest FROM (SELECT id, coalesce(daireKurul, 'None') || ' | E: ' || coalesce(esasNo, 'None') || ' K: ' || coalesce(kararNo, 'None') "
-    f"|| ' | ' || coalesce(kararTarihi, 'None') || {_NL} || repeat('=', 60) || {_NL} || {_NL} || text AS page FROM idx)",
-)
+@_query("header_format_whole", f"{_WITH} SELECT id, length(page) AS n, md5(page) AS digest FROM (SELECT id, {_SAVED} AS page FROM idx)")
 def header_format_whole(spark, d):
-    """Length and digest of each page: the header and the whole text."""
-    page = text_fn.header(*(F.col(c) for c in ("text", "daireKurul", "esasNo", "kararNo", "kararTarihi")))
-    return _digested(_index(spark, d).select("id", page.alias("page")), "id", "page")
+    """Length and digest of each saved text."""
+    return _digested(_saved(spark, d), "id", "page")
 
 
 _SECONDS = "CAST(o_orderkey * 7 % 9000 AS BIGINT)"
@@ -173,12 +178,12 @@ def fmt_wait(spark, d):
     return table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), text_fn.wait_label(F.col("o_orderkey") * 7 % 9000).alias("wait"))
 
 
-_PHRASE = "left(replace(text, chr(10), ' '), 25) || ' a/b?c=~d*(e)'"
+_PHRASE = "replace(text, chr(10), ' ') || ' a/b?c=~d*(e)'"
 
 
 @_query("url_quote", f"SELECT doc_id, replace(replace(url_encode({_PHRASE}), '%2F', '/'), '%7E', '~') AS quoted FROM documents")
 def url_quote(spark, d):
-    phrase = F.concat(F.left(F.replace("text", F.lit("\n"), F.lit(" ")), F.lit(25)), F.lit(" a/b?c=~d*(e)"))
+    phrase = F.concat(F.replace("text", F.lit("\n"), F.lit(" ")), F.lit(" a/b?c=~d*(e)"))
     return table(spark, d, "documents").select("doc_id", text_fn.url_quote(phrase).alias("quoted"))
 
 
@@ -493,7 +498,7 @@ def chunk_inherit(spark, d):
 
 @_query(
     "response_classify",
-    f"SELECT event_id, CASE WHEN status IS NULL THEN 'network' WHEN status = 200 AND kind = 'ERROR' AND message LIKE '%aptcha%' THEN 'captcha' WHEN status = 200 AND kind = 'ERROR' THEN 'error' "
+    f"SELECT event_id, CASE WHEN status IS NULL THEN 'network' WHEN status = 200 AND kind = 'ERROR' AND (message LIKE '%reCaptcha%' OR message LIKE '%Captcha%') THEN 'captcha' WHEN status = 200 AND kind = 'ERROR' THEN 'error' "
     f"WHEN status = 200 THEN 'ok' WHEN status IN (429, 503) THEN 'backoff' ELSE 'http_error' END AS outcome FROM ({RESPONSES})",
 )
 def response_classify(spark, d):
