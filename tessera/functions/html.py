@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from html import unescape
 from html.parser import HTMLParser
 
@@ -31,6 +32,8 @@ def page_text(html: Column) -> Column:
     return strip(collapse_breaks(F.regexp_replace(text, "&amp;?", "&")))
 
 
+#: No element has one of the two ids where this finds nothing; an entity may stand for a letter.
+_MARKED = re.compile(r"""(?i:\bid)\s*=\s*["']?[^"'>\s]*(?:content|&)""")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
 
@@ -119,12 +122,14 @@ def dom_text(html: str | None) -> str:
     """
     if not html:
         return ""
-    hidden = _Walk("p", "hiddencontent").run(html)
-    if hidden.inner and not hidden.children and hidden.inner.strip():
-        source = unescape(unescape(hidden.inner))
-    else:
-        content = _Walk(None, "content").run(html)
-        source = content.inner if content.inner is not None else html
+    source = html
+    if _MARKED.search(html):
+        hidden = _Walk("p", "hiddencontent").run(html)
+        if hidden.inner and not hidden.children and hidden.inner.strip():
+            source = unescape(unescape(hidden.inner))
+        else:
+            content = _Walk(None, "content").run(html)
+            source = content.inner if content.inner is not None else html
     text = "\n".join(_Walk(skip=("script", "style")).run(source).texts)
     while "\n\n\n" in text:
         text = text.replace("\n\n\n", "\n\n")

@@ -13,6 +13,7 @@ from tessera.functions import text as text_fn
 from tessera.operators import chunk, dedup, normalize, publish, resume, search, status, throttle, vectors
 from tessera.plans.fixtures import BASE_URL, DECISIONS, INDEX, REQUESTS, RESPONSES, mapped, shaped, table
 from tessera.session import scratch_path
+from tessera.sources import files, paged
 from tessera.sources import index as index_source
 from tessera.streaming.publish import Publisher, dedup_stream, publish_available
 
@@ -167,6 +168,24 @@ def header_format_whole(spark, d):
     return _digested(_saved(spark, d), "id", "page")
 
 
+@_query("saved_texts", f"{_WITH} SELECT id, length(page) AS n, md5(page) AS digest FROM (SELECT id, {_SAVED} AS page FROM idx)")
+def saved_texts(spark, d):
+    """Each text written to a file of its own, with its header, and read back."""
+    folder = scratch_path(spark, "texts")
+    files.save_each(_saved(spark, d), folder, ".txt").write.format("noop").mode("overwrite").save()
+    read = spark.read.schema("value string").text(folder, wholetext=True).select(F.regexp_extract(F.input_file_name(), r"([^/]+)\.txt$", 1).alias("id"), F.col("value").alias("page"))
+    return _digested(read, "id", "page")
+
+
+@_query("paged_search", f"{_WITH} SELECT id, daireKurul, esasNo, kararNo, kararTarihi, arananKelime FROM idx WHERE kararNo = '2001/3' AND esasNo >= '2000/1'")
+def paged_search(spark, d):
+    """The index recorded as pages of 50 rows, and searched by criteria that are tested where the pages are read."""
+    path = scratch_path(spark, "pages")
+    paged.write_pages(_index(spark, d), "line_no", path)
+    paged.register(spark)
+    return spark.read.format("paged_search").load(path).where("kararNo = '2001/3' AND esasNo >= '2000/1'")
+
+
 _SECONDS = "CAST(o_orderkey * 7 % 9000 AS BIGINT)"
 
 

@@ -1,8 +1,13 @@
-"""File access of the Python sources, by path or URI, through Arrow's file systems."""
+"""File access of the Python sources and of file sinks, by path or URI, through Arrow's file systems."""
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
+import pyarrow as pa
 from pyarrow import fs
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def open_path(path: str) -> tuple[fs.FileSystem, str]:
@@ -25,3 +30,26 @@ def read_from(path: str, start: int, end: int) -> bytes:
     with system.open_input_file(p) as f:
         f.seek(start)
         return f.read(end - start)
+
+
+def save_each(rows: DataFrame, folder: str, suffix: str, key: str = "id", content: str = "page") -> DataFrame:
+    """Write one file per row, named by the percent-encoded key; returns key and bytes of each file written.
+
+    Rows whose key is null, or whose content is null or empty, give no file. The folder must be shared with
+    the executors. A task that runs again overwrites its own files, so the files follow from the rows alone.
+    The files are written when the result is read.
+    """
+
+    def run(batches):
+        system, p = open_path(folder)
+        system.create_dir(p, recursive=True)
+        for b in batches:
+            sizes = []
+            for k, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                with system.open_output_stream(f"{p}/{quote(k, safe='')}{suffix}") as f:
+                    f.write(raw)
+                sizes.append(len(raw))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64())], names=["key", "bytes"])
+
+    some = rows.select(F.col(key).cast("string").alias("key"), F.col(content).cast("binary").alias("raw")).where("key is not null and octet_length(raw) > 0")
+    return some.mapInArrow(run, "key string, bytes long")

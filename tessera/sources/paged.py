@@ -1,6 +1,6 @@
 """A batch source of recorded search pages: one partition per block of pages.
 
-Pages are JSON files ``page-<number>.json`` in a folder, each a response envelope. Simple comparisons are
+Pages are files ``page-<number>.json`` in a folder, or what ``write_pages`` wrote there, each a response envelope. Simple comparisons are
 taken as filters and tested where the pages are read. An error envelope fails the read and names its
 page, whatever the blocks are; with ``until``, that number, the pages before it are read.
 """
@@ -11,7 +11,8 @@ import json
 import re
 
 from pyarrow import fs
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThanOrEqual, InputPartition, LessThanOrEqual
 
 from tessera.functions.text import CHALLENGES
@@ -20,8 +21,13 @@ from tessera.sources.files import open_path
 FIELDS = ("id", "daireKurul", "esasNo", "kararNo", "kararTarihi", "arananKelime")
 
 
+#: A page's file: ``page-7.json``, or a part in the folder ``page=7``.
+_PAGE = re.compile(r"page-(\d+)\.json$|page=(\d+)/part-[^/]*$")
+
+
 def _number(name: str) -> int:
-    return int(re.search(r"(\d+)\.json$", name)[1])
+    found = _PAGE.search(name)
+    return int(found[1] or found[2])
 
 
 class RefusedError(RuntimeError):
@@ -66,7 +72,7 @@ class PagedReader(DataSourceReader):
 
     def partitions(self) -> list[InputPartition]:
         system, p = open_path(self.path)
-        names = sorted((i.path for i in system.get_file_info(fs.FileSelector(p)) if i.path.endswith(".json")), key=lambda x: (len(x), x))
+        names = sorted((i.path for i in system.get_file_info(fs.FileSelector(p, recursive=True)) if _PAGE.search(i.path)), key=_number)
         names = [n for n in names if not self.until or _number(n) < self.until]
         return [Block(names[i : i + self.per]) for i in range(0, len(names), self.per)] or [Block([])]
 
@@ -92,6 +98,16 @@ class PagedReader(DataSourceReader):
                     yield tuple(row[k] for k in FIELDS)
 
 
+def write_pages(rows: DataFrame, order: str, path: str, per: int = 50) -> None:
+    """Record rows as pages of ``per`` rows, by ``order``, a row number from 0; a page holds what the server would send."""
+    fields = [F.col(c).cast("string").alias(c) for c in FIELDS if c in rows.columns]
+    numbered = rows.select((F.floor(F.col(order) / per) + 1).alias("page"), F.struct(F.col(order).alias("at"), F.struct(*fields).alias("row")).alias("r"))
+    total = rows.count()
+    pages = numbered.groupBy("page").agg(F.transform(F.sort_array(F.collect_list("r")), lambda r: r["row"]).alias("data"))
+    envelope = F.struct(F.struct(F.lit("SUCCESS").alias("FMTY")).alias("metadata"), F.struct("data", F.lit(total).alias("recordsTotal"), F.lit(total).alias("recordsFiltered")).alias("data"))
+    pages.select("page", F.to_json(envelope).alias("value")).write.partitionBy("page").text(path)
+
+
 def register(spark: SparkSession) -> None:
     """Register the source; Spark hands filters to Python sources only if the session says so."""
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")

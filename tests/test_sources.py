@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators.normalize import raw_documents, rows_of
 from tessera.operators.publish import write_messages
-from tessera.sources import index, line_stream, paged
+from tessera.sources import files, index, line_stream, paged
 from tessera.streaming.publish import Publisher, publish_available, with_late_texts
 
 
@@ -48,6 +48,14 @@ def test_an_error_page_is_named_whatever_the_blocks(spark, tmp_path, per):
     assert sorted(r["id"] for r in read.option("until", 3).load(path).collect()) == ["1", "2"]
 
 
+def test_files_of_their_own(spark, tmp_path):
+    rows = spark.createDataFrame([("7", "é\n"), ("a/b", "x"), ("8", ""), ("9", None), (None, "y")], "id string, page string")
+    for _ in range(2):  # again: the same files
+        got = files.save_each(rows, f"file://{tmp_path}/out", ".html").collect()
+        assert sorted(map(tuple, got)) == [("7", 3), ("a/b", 1)]
+    assert {f.name: f.read_text(encoding="utf-8") for f in (tmp_path / "out").iterdir()} == {"7.html": "é\n", "a%2Fb.html": "x"}
+
+
 def test_envelopes(spark):
     rows = spark.createDataFrame([(1, '{"data": {"data": [{"id": 7}], "recordsTotal": 1}}'), (2, "{}"), (3, "broken"), (4, None)], "page int, payload string")
     got = [(r["page"], r["records_total"], r["id"]) for r in rows_of(rows).orderBy("page").collect()]
