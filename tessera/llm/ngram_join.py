@@ -17,7 +17,8 @@ blocks, matches prefixes, verifies, and returns a link count per document and th
 forest: no more rows than it was given. Every link between different sets is met in exactly one task.
 
 Rows, not ids, are joined: a row's key is its place in the input, which must give the same rows in the
-same order each time it is read, as a scan of files does; if it does not, the join fails.
+same order each time it is read, as a scan of files does. If rows are missing the second time, the join
+fails; another order of as many rows is not noticed, so materialize inputs that may change.
 
 Defined results: texts that are null, empty or white space have no shingles, link with nothing and are
 their own component; a text of fewer words than the width is one shingle; equal sets link; repeated rows
