@@ -34,9 +34,13 @@ class Topics:
         return self.brokers.split(",")
 
     def kafka_options(self) -> dict[str, str]:
-        """Options of Spark's Kafka sink and source for these settings."""
+        """Options of Spark's Kafka sink for these settings."""
         return {"kafka.bootstrap.servers": self.brokers, "kafka.acks": self.acks, "kafka.retries": str(self.retries), "kafka.retry.backoff.ms": "500", "kafka.max.block.ms": "10000"}
 
+    def consumer_options(self, topic: str, group: str) -> dict[str, str]:
+        """Options of Spark's Kafka source; offsets are committed by the stream's checkpoint, never by the client."""
+        return {"kafka.bootstrap.servers": self.brokers, "subscribe": topic, "startingOffsets": self.starting, "groupIdPrefix": group, "failOnDataLoss": "true"}
+
 
 @dataclass(frozen=True)
 class Seen:
@@ -73,3 +77,8 @@ class Throttle:
     block_waits: tuple[int, ...] = (60, 180, 600, 1800, 3600)
     limited_wait: int = 30
     network_wait: int = 10
+    attempts: int = 4
+    range_captchas: int = 30
+    range_captcha_wait: int = 1800
+    range_errors: int = 5
+    range_error_wait: int = 300

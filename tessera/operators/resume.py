@@ -37,6 +37,20 @@ def with_text(rows: DataFrame, texts: DataFrame, key: str = "id") -> DataFrame:
     return rows.join(texts, key)
 
 
+def saved_rows(rows: DataFrame, texts: DataFrame, full_text: bool = True, key: str = "id") -> DataFrame:
+    """Rows with their text, null where it is missing; without ``full_text`` the texts are never read, and text is null for all."""
+    if not full_text:
+        return rows.withColumn("text", F.lit(None).cast("string"))
+    return rows.join(texts.select(key, "text"), key, "left")
+
+
+def run_counters(rows: DataFrame, done: DataFrame, key: str = "id") -> DataFrame:
+    """One row: ``saved``, the ids that this run adds, and ``total_done``, the ids known after it."""
+    both = rows.select(F.col(key).cast("string").alias(key), F.lit(0).alias("known")).unionByName(done.select(F.col(key).cast("string").alias(key), F.lit(1).alias("known")))
+    ids = both.where(F.col(key).isNotNull()).groupBy(key).agg(F.max("known").alias("known"))
+    return ids.agg(F.count_if(F.col("known") == 0).alias("saved"), F.count("*").alias("total_done"))
+
+
 def missing_text(rows: DataFrame, texts: DataFrame, key: str = "id") -> DataFrame:
     """Rows that wait for their text; they stay pending and are joined again by the next run."""
     return rows.join(texts.select(key), key, "left_anti")

@@ -94,3 +94,13 @@ def page_numbers(total: Column, size: int) -> Column:
 def totals(df: DataFrame, predicate: Column) -> DataFrame:
     """Rows in all, and rows that the predicate keeps, in one pass."""
     return df.agg(F.count("*").alias("records_total"), F.count_if(predicate).alias("records_filtered"))
+
+
+def preview(df: DataFrame, predicate: Column, most: int = 3, code: int = 3, direction: str = "desc") -> DataFrame:
+    """The first rows of a search, each with records_total, the number of rows found; nothing is written.
+
+    A search that finds nothing gives one row of nulls with the total 0.
+    """
+    found = df.where(predicate)
+    total = found.agg(F.count("*").alias("records_total"))
+    return total.join(F.broadcast(page(ordered(found, code, direction), 1, most)), F.lit(True), "left").select(*df.columns, "records_total")

@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.config import Throttle
+from tessera.sources.files import open_path
+
+#: Outcomes that are tried again; any other ends its request.
+RETRIED = ("captcha", "backoff", "network")
 
 
 def clamp(value: Column, most: float = Throttle().most) -> Column:
@@ -85,3 +89,61 @@ def wait_seconds(outcome: Column, attempt: Column, escalation: Column, rules: Th
         .when(outcome == "backoff", (attempt + 1) * rules.limited_wait)
         .when(outcome == "network", (attempt + 1) * rules.network_wait)
     )
+
+
+def range_wait(outcome: Column, tries: Column, rules: Throttle = Throttle()) -> Column:
+    """Seconds before a part of a range is run again after its ``tries``-th failure (from 1); null where it is skipped, or did not fail."""
+    return F.when((outcome == "captcha") & (tries < rules.range_captchas), F.lit(rules.range_captcha_wait)).when(
+        ~outcome.isin("ok", "captcha") & (tries < rules.range_errors), F.lit(rules.range_error_wait)
+    )
+
+
+def settled(log: DataFrame, request: list[str], order: str, outcome: str, rules: Throttle = Throttle()) -> DataFrame:
+    """request, attempts and result of each request: its first outcome that is not tried again, or ``exhausted``.
+
+    At most ``rules.attempts`` attempts of a request count. Attempts that tie in order are taken by outcome.
+    """
+    w = Window.partitionBy(*request).orderBy(order, outcome)
+    tried = log.select(*request, order, outcome).withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= rules.attempts)
+    ended = F.min(F.when(~F.col(outcome).isin(*RETRIED), F.struct("_n", F.col(outcome).alias("result")))).alias("_end")
+    return tried.groupBy(*request).agg(F.max("_n").alias("_most"), ended).select(
+        *request, F.coalesce("_end._n", "_most").alias("attempts"), F.coalesce("_end.result", F.when(F.col("_most") == rules.attempts, "exhausted").otherwise("pending")).alias("result")
+    )
+
+
+def until_stop(states: DataFrame, key: str, order: str, rules: Throttle = Throttle()) -> DataFrame:
+    """Replayed events of each key up to the captcha that reaches the limit, that one included; the rest waits for a resumed run.
+
+    The stops are found by an aggregation, so a key with very many events is not gathered; keys must not be null.
+    """
+    stops = states.where(F.col("strikes") >= rules.strikes).groupBy(key).agg(F.min(order).alias("_stop"))
+    return states.join(stops, key, "left").where(F.col("_stop").isNull() | (F.col(order) <= F.col("_stop"))).select(*states.columns)
+
+
+def save_multipliers(states: DataFrame, key: str, order: str, path: str) -> None:
+    """Write each key's last multiplier with two decimals, as the text that a later run restores."""
+    last = states.groupBy(key).agg(F.max_by("multiplier", order).alias("_m"))
+    last.select(F.col(key), F.format_string("%.2f", "_m").alias("value")).write.mode("overwrite").parquet(path)
+
+
+def restored_multipliers(saved: DataFrame) -> DataFrame:
+    """Saved values as multipliers within the limits; unreadable ones are 1."""
+    return saved.withColumn("multiplier", clamp(F.nullif(F.expr("try_cast(trim(value) AS double)"), F.lit(float("nan"))))).drop("value")
+
+
+def save_state(state: State, path: str) -> None:
+    """Write the multiplier of one crawl; the rest of its state starts anew with each run."""
+    system, p = open_path(path)
+    with system.open_output_stream(p) as f:
+        f.write(f"{state.multiplier:.2f}\n".encode())
+
+
+def load_state(path: str, rules: Throttle = Throttle()) -> State:
+    """The state that a run starts with; without a readable file it is the fresh one."""
+    try:
+        system, p = open_path(path)
+        with system.open_input_stream(p) as f:
+            value = float(f.read().decode().strip() or 1)
+    except (OSError, ValueError):
+        return State()
+    return State(max(1.0, min(value, rules.most))) if value == value else State()

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.config import Vectors
+from tessera.operators.resume import first_of_each
+from tessera.session import path_exists
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -37,3 +39,50 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", ve
     met = rows.join(F.broadcast(asked), F.col(key) != F.col("query_id")).select("query_id", F.col(key).alias("neighbour_id"), score.alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "neighbour_id"))
     return met.withColumn("rank", rank).where(F.col("rank") <= k)
+
+
+class VectorStore:
+    """Vectors by collection and key, in a folder that driver and executors share.
+
+    An upsert writes only its own rows, under its number; a read gives the row of the highest number of
+    each key. An upsert that runs again replaces what it wrote. ``compact`` bounds what a read merges.
+    """
+
+    def __init__(self, root: str, key: str = "vec_id", vector: str = "embedding", size: int = Vectors().size):
+        self.root, self.key, self.vector, self.size = root.rstrip("/"), key, vector, size
+
+    def upsert(self, rows: DataFrame, number: int, order: list[Column]) -> None:
+        """Write rows, which have a column collection. Rows without a key, a collection or a vector of the
+        store's size are left out; of a repeated key the first row in ``order`` is kept."""
+        some = vector_records(rows.where(F.col(self.key).isNotNull() & F.col("collection").isNotNull()), self.vector, self.size)
+        self._write(first_of_each(some, ["collection", self.key], order), f"upserts/number={number}")
+
+    def _write(self, rows: DataFrame, folder: str) -> None:
+        rows.select("collection", self.key, self.vector).write.mode("overwrite").partitionBy("collection").parquet(f"{self.root}/{folder}")
+
+    def _read(self, spark: SparkSession, folder: str) -> DataFrame:
+        return spark.read.schema(f"{self.key} long, {self.vector} array<float>, number long, collection string").parquet(f"{self.root}/{folder}")
+
+    def _base(self, spark: SparkSession) -> int:
+        """The number up to which upserts are compacted; -1 without any. Only complete folders count."""
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/bases/number=*/_SUCCESS")
+        found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+        return max((int(str(f.getPath().getParent().getName()).split("=")[1]) for f in found or []), default=-1)
+
+    def current(self, spark: SparkSession, through: int | None = None) -> DataFrame:
+        """collection, key and vector as they are after the upserts up to ``through``, or all."""
+        base, parts = self._base(spark), []
+        if base >= 0:
+            parts.append(self._read(spark, "bases").where(F.col("number") == base))
+        if path_exists(spark, f"{self.root}/upserts"):
+            later = self._read(spark, "upserts").where(F.col("number") > base)
+            parts.append(later if through is None else later.where(F.col("number") <= through))
+        if not parts:
+            return spark.createDataFrame([], f"collection string, {self.key} long, {self.vector} array<float>")
+        merged = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        return first_of_each(merged, ["collection", self.key], [F.col("number").desc()]).select("collection", self.key, self.vector)
+
+    def compact(self, spark: SparkSession, through: int) -> None:
+        """Merge the upserts up to ``through``, which must have ended, into a new base; what it replaces stays on disk for readers under way."""
+        if through > self._base(spark):
+            self._write(self.current(spark, through), f"bases/number={through}")

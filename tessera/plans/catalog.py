@@ -7,14 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.config import Chunking, Seen
+from tessera.config import CHUNKED_TOPIC, SOURCES, Chunking, Seen
 from tessera.functions import dates, html, keys
 from tessera.functions import text as text_fn
 from tessera.operators import chunk, dedup, normalize, publish, resume, search, status, throttle, vectors
 from tessera.plans.fixtures import BASE_URL, DECISIONS, INDEX, REQUESTS, RESPONSES, mapped, shaped, table
 from tessera.session import scratch_path
-from tessera.sources import files, paged
+from tessera.sources import files, line_stream, paged
 from tessera.sources import index as index_source
+from tessera.streaming import topics
 from tessera.streaming.publish import Publisher, dedup_stream, publish_available
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -289,6 +290,11 @@ def preview3(spark, d):
     return search.page(search.ordered(_decisions(spark, d).where(search.criteria_predicate(decision_year=1998))), 1, 3).select("id", "decided")
 
 
+@_query("preview_total", f"{_DEC} SELECT id, decided, (SELECT count(*) FROM dec WHERE decision_year = 1998) AS records_total FROM dec WHERE decision_year = 1998 ORDER BY dec.decided DESC, id LIMIT 3")
+def preview_total(spark, d):
+    return search.preview(_decisions(spark, d), search.criteria_predicate(decision_year=1998)).select("id", "decided", "records_total")
+
+
 @_query("totals", f"{_DEC} SELECT count(*) AS records_total, count(*) FILTER (WHERE decision_year = 1998) AS records_filtered FROM dec")
 def totals(spark, d):
     return search.totals(_decisions(spark, d), search.criteria_predicate(decision_year=1998))
@@ -341,6 +347,17 @@ def text_semi(spark, d):
     return resume.with_text(rows.drop("text"), texts).select("id", F.length("text").cast("long").alias("n"))
 
 
+@_query("index_only", f"{_WITH} SELECT id, daireKurul, CAST(NULL AS VARCHAR) AS text FROM idx")
+def index_only(spark, d):
+    """The full-text switch turned off: texts are not read."""
+    return resume.saved_rows(_index(spark, d).drop("text"), _index(spark, d), full_text=False).select("id", "daireKurul", "text")
+
+
+@_query("run_counters", "SELECT count(*) FILTER (WHERE id NOT IN (SELECT doc_id FROM labels)) AS saved, count(*) AS total_done FROM (SELECT doc_id AS id FROM documents UNION SELECT doc_id FROM labels)")
+def run_counters(spark, d):
+    return resume.run_counters(_index(spark, d), _done(spark, d))
+
+
 @_query("missing_text", f"{_WITH} SELECT count(*) AS missing FROM idx WHERE id NOT IN (SELECT CAST(doc_id AS VARCHAR) FROM labels)")
 def missing_text(spark, d):
     return resume.missing_text(_index(spark, d), _done(spark, d)).agg(F.count("*").alias("missing"))
@@ -403,6 +420,55 @@ def strict_types(spark, d):
     return table(spark, d, "documents").select("doc_id", normalize.strict_texts(payload, ["esasNo", "kararNo"]).alias("valid"))
 
 
+@_query("index_append", f"{_WITH} SELECT id, daireKurul, esasNo, kararNo, kararTarihi, arananKelime FROM idx")
+def index_append(spark, d):
+    """An index that is missing at first, appended to by two runs, the second of which takes what the first left."""
+    path, rows = scratch_path(spark, "index"), _index(spark, d).select(*paged.FIELDS)
+    for part in (rows.where("id % 3 = 0"), rows):
+        fresh = resume.not_yet_done(part, resume.known_ids(index_source.read_index(spark, path)))
+        index_source.append_index(fresh, path)
+    return index_source.read_index(spark, path).select(*paged.FIELDS)
+
+
+_FLAT = f"replace(text, {_NL}, ' ')"
+
+
+def _write_lines(rows: DataFrame, path: str, files_: int) -> None:
+    """Texts as lines, in the order of ids over the files' names."""
+    rows.repartitionByRange(files_, "doc_id").sortWithinPartitions("doc_id").select(F.replace("text", F.lit("\n"), F.lit(" ")).alias("value")).write.text(path)
+
+
+@_query("line_ordinals", f"SELECT row_number() OVER (ORDER BY doc_id) - 1 AS line_no, md5({_FLAT}) AS digest FROM documents")
+def line_ordinals(spark, d):
+    """The place of each line over several files."""
+    path = scratch_path(spark, "lines")
+    _write_lines(table(spark, d, "documents"), path, 4)
+    return index_source.numbered_lines(spark, path).select("line_no", F.md5(F.col("value").cast("binary")).alias("digest"))
+
+
+@_query("line_stream", f"SELECT * FROM (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS line_no, md5({_FLAT}) AS digest FROM documents) WHERE line_no >= 100")
+def line_stream_query(spark, d):
+    """One file of lines as a stream from line 100 on, in limited batches."""
+    folder, out = scratch_path(spark, "lines"), scratch_path(spark, "line-digests")
+    _write_lines(table(spark, d, "documents"), folder, 1)
+    line_stream.register(spark)
+    (file,) = spark.read.text(folder).inputFiles()
+    line_stream.drain(
+        lambda: spark.readStream.format("growing_lines").option("path", file).option("startLine", 100).option("maxLinesPerBatch", 5000).load()
+        .select("line_no", F.md5(F.col("value").cast("binary")).alias("digest")), out, scratch_path(spark, "line-state"),
+    )
+    return spark.read.schema("line_no long, digest string").parquet(out)
+
+
+@_query("undecodable_texts", f"{_WITH} SELECT id, length(text) + 1 AS n, md5(text || chr(65533)) AS digest FROM idx")
+def undecodable_texts(spark, d):
+    """Whole files with a byte at their end that is no UTF-8."""
+    folder = scratch_path(spark, "texts")
+    spoiled = _index(spark, d).select("id", F.concat(F.col("text").cast("binary"), F.unhex(F.lit("FF"))).alias("page"))
+    files.save_each(spoiled, folder, ".txt").write.format("noop").mode("overwrite").save()
+    return _digested(index_source.read_texts(spark, folder), "id", "text")
+
+
 # Raw documents and publishing -------------------------------------------------------------------
 
 
@@ -574,6 +640,45 @@ def throttle_sim(spark, d):
     return throttle.replay(_requests(spark, d), "user_id", "event_id", "outcome").drop("outcome")
 
 
+_SIM = SQL["throttle_sim"]
+
+
+@_query("strike_stop", f"SELECT user_id, event_id, strikes FROM (SELECT *, min(event_id) FILTER (WHERE strikes >= 3) OVER (PARTITION BY user_id) AS stop FROM ({_SIM})) WHERE stop IS NULL OR event_id <= stop")
+def strike_stop(spark, d):
+    return throttle.until_stop(throttle_sim(spark, d), "user_id", "event_id").select("user_id", "event_id", "strikes")
+
+
+@_query(
+    "throttle_restore",
+    f"SELECT user_id, greatest(1.0, least(CAST(printf('%.2f', multiplier) AS DOUBLE), 30.0)) AS multiplier FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS r FROM ({_SIM})) WHERE r = 1",
+)
+def throttle_restore(spark, d):
+    """Each user's multiplier, written by one run and restored by the next."""
+    path = scratch_path(spark, "throttle")
+    throttle.save_multipliers(throttle_sim(spark, d), "user_id", "event_id", path)
+    return throttle.restored_multipliers(spark.read.schema("user_id long, value string").parquet(path))
+
+
+@_query(
+    "request_attempts",
+    f"WITH n AS (SELECT event_id // 5 AS request, outcome, row_number() OVER (PARTITION BY event_id // 5 ORDER BY event_id) AS n FROM ({SQL['response_classify']})), "
+    "e AS (SELECT request, max(n) AS most, min(n) FILTER (WHERE outcome IN ('ok', 'error', 'http_error')) AS ended FROM n WHERE n <= 4 GROUP BY 1) "
+    "SELECT e.request, CAST(coalesce(ended, most) AS INT) AS attempts, coalesce(outcome, CASE WHEN most = 4 THEN 'exhausted' ELSE 'pending' END) AS result FROM e LEFT JOIN n ON n.request = e.request AND n.n = e.ended",
+)
+def request_attempts(spark, d):
+    """Requests of up to five recorded responses, of which four are attempts."""
+    tries = response_classify(spark, d).withColumn("request", F.expr("event_id div 5"))
+    return throttle.settled(tries, ["request"], "event_id", "outcome")
+
+
+_TRIES = "(1 + event_id % 33)"
+
+
+@_query("range_waits", f"{_REQ} SELECT event_id, CAST(CASE WHEN outcome = 'captcha' AND {_TRIES} < 30 THEN 1800 WHEN outcome = 'backoff' AND {_TRIES} < 5 THEN 300 END AS INT) AS wait FROM req")
+def range_waits(spark, d):
+    return _requests(spark, d).select("event_id", throttle.range_wait(F.col("outcome"), 1 + F.col("event_id") % 33).alias("wait"))
+
+
 @_query("status_summary", "SELECT (SELECT count(*) FROM documents) AS index_rows, (SELECT count(DISTINCT doc_id) FROM documents) AS index_ids, (SELECT count(*) FROM labels) AS text_files")
 def status_summary(spark, d):
     return status.summary(table(spark, d, "documents").select(F.col("doc_id").alias("id")), table(spark, d, "labels"))
@@ -607,6 +712,23 @@ def vector_records(spark, d):
     return vectors.vector_records(table(spark, d, "embeddings"), size=64).select("vec_id", vectors.collection_of(source).alias("collection"))
 
 
+@_query(
+    "vector_upsert",
+    "SELECT vec_id, CASE vec_id % 4 WHEN 0 THEN 'danistay_kararlar' WHEN 1 THEN 'yargitay_kararlar' ELSE 'mevzuat' END AS collection, "
+    "round(CAST(CASE WHEN vec_id % 5 = 0 THEN embedding[64] ELSE embedding[1] END AS DOUBLE), 6) AS first FROM embeddings WHERE len(embedding) = 64 AND vec_id % 4 <> 3",
+)
+def vector_upsert(spark, d):
+    """All vectors written, a fifth of them written again in reverse; read after the first upsert was compacted."""
+    n = F.col("vec_id") % 4
+    source = F.when(n == 0, "danistay").when(n == 1, "yargitay").when(n == 2, "mevzuat").otherwise("other")
+    rows = table(spark, d, "embeddings").withColumn("collection", vectors.collection_of(source))
+    store = vectors.VectorStore(scratch_path(spark, "vectors"), size=64)
+    store.upsert(rows, 0, [F.col("embedding")])
+    store.compact(spark, 0)
+    store.upsert(rows.where("vec_id % 5 = 0").withColumn("embedding", F.reverse("embedding")), 1, [F.col("embedding")])
+    return store.current(spark).select("vec_id", "collection", F.round(F.get("embedding", F.lit(0)).cast("double"), 6).alias("first"))
+
+
 # Streams ----------------------------------------------------------------------------------------
 
 
@@ -634,3 +756,15 @@ def dedup_stream_query(spark, d):
     query = dedup_stream(keyed, "key").writeStream.format("parquet").option("checkpointLocation", scratch_path(spark, "dedup-state")).trigger(availableNow=True).start(out)
     query.awaitTermination()
     return spark.read.schema("key string").parquet(out)
+
+
+@_query("chunk_topics", SQL["chunk_inherit"].replace("c.doc_id, CAST", "'legal.' || kaynak || '.chunked' AS topic, c.doc_id AS key, CAST", 1).replace(", kaynak, esas_no, karar_no, daire, karar_tarihi, mevzuat_no, url FROM c", ", esas_no, url FROM c"))
+def chunk_topics(spark, d):
+    """Raw topics read by a chunker group of each source, and their chunk topics read as records."""
+    sent, out, state = (scratch_path(spark, n) for n in ("raw-topics", "chunk-topics", "chunk-groups"))
+    publish.messages(_raw(spark, d).drop("line_no"), normalize.document_key()).write.parquet(f"{sent}/batch=0")
+    for source in SOURCES:
+        topics.chunk_source(spark, sent, source, f"{out}/{CHUNKED_TOPIC.format(source)}", state)
+    read = spark.read.schema("topic string, key string, value string").parquet(f"{out}/*/batch=*")
+    records = read.select("topic", "key", F.from_json("value", topics.CHUNK).alias("_c"))
+    return records.select("topic", "key", "_c.chunk_index", "_c.chunk_id", "_c.esas_no", "_c.url")

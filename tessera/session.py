@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,3 +58,29 @@ def discard(df: DataFrame) -> None:
     for file in {f.rpartition("/")[0] for f in df.inputFiles()}:
         path = spark._jvm.org.apache.hadoop.fs.Path(file)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+class AlreadyRunning(RuntimeError):
+    """Another writer holds the folder."""
+
+
+@contextmanager
+def single_writer(spark: SparkSession, folder: str):
+    """Hold a folder for one writer: a second one is refused at once.
+
+    The mark is a file ``_writer``, created only if there is none. It stays if the driver is killed, and is then
+    removed by hand, as no other driver can know that the first has ended.
+    """
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/_writer")
+    system = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.createNewFile(at):
+        raise AlreadyRunning(f"{folder} has a writer; remove {at} if it has ended")
+    try:
+        yield
+    finally:
+        system.delete(at, False)

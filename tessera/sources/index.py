@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.schemas import INDEX_ROW
@@ -21,11 +21,27 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     return lines.select("line_no", F.from_json("value", INDEX_ROW, options).alias("_r")).select("line_no", "_r.*")
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """line_no (from 0, in the order of file names, then of lines) and value of text lines.
+
+    A line's place is its place in its block of a file, plus the lines of all blocks before; only the
+    counts of blocks are put in order in one task, one row for each block that the scan reads. The files
+    must not change between the two scans.
+    """
+    at = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_from"), F.monotonically_increasing_id().alias("_id")
+    )
+    blocks = at.groupBy("_file", "_from").agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
+    before = F.sum("_n").over(Window.orderBy("_file", "_from").rowsBetween(Window.unboundedPreceding, -1))
+    placed = blocks.withColumn("_before", F.coalesce(before, F.lit(0))).drop("_n")
+    return at.join(placed, ["_file", "_from"]).select((F.col("_before") + F.col("_id") - F.col("_first")).alias("line_no"), F.make_valid_utf8("value").alias("value"))
+
+
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
     """id (the file's name without .txt) and text of whole files; invalid UTF-8 becomes U+FFFD."""
     files = spark.read.text(path, wholetext=True)
     name = F.element_at(F.split("_metadata.file_path", "/"), -1)
-    return files.select(F.regexp_replace(F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))), r"\.txt$", "").alias("id"), F.col("value").alias("text"))
+    return files.select(F.regexp_replace(F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))), r"\.txt$", "").alias("id"), F.make_valid_utf8("value").alias("text"))
 
 
 def read_offset(value: str | None) -> int:

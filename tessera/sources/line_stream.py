@@ -6,7 +6,9 @@ hold the line and the byte where the next batch starts, so a batch reads only wh
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, InputPartition, SimpleDataSourceStreamReader
 
 from tessera.sources.files import read_from, size
@@ -66,3 +68,17 @@ class LineReader(SimpleDataSourceStreamReader):
 
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(GrowingLines)
+
+
+def drain(lines: Callable[[], DataFrame], out: str, checkpoint: str) -> int:
+    """Write a stream of a growing file to Parquet until it has nothing new; returns the batches run.
+
+    Spark takes one batch of such a source for all there is now, so it is started again while it moves on.
+    """
+    runs = 0
+    while True:
+        query = lines().writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out)
+        query.awaitTermination()
+        if not any(p["numInputRows"] or p["sources"][0]["startOffset"] != p["sources"][0]["endOffset"] for p in query.recentProgress):
+            return runs
+        runs += 1
