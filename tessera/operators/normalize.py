@@ -9,7 +9,7 @@ from tessera.config import ERROR_FIELD, SOURCES
 from tessera.functions.dates import iso_date
 from tessera.functions.keys import natural_key
 from tessera.functions.text import has_content, is_challenge, strip, url_quote
-from tessera.schemas import ENVELOPE, SEARCH_ROWS
+from tessera.schemas import ENVELOPE, RAW_DOCUMENT, SEARCH_ROWS
 
 PAGE_PATH = "/arama/getDokuman?id="
 
@@ -71,6 +71,23 @@ def strict_texts(payload: Column, names: list[str]) -> Column:
     return F.forall(F.array(*kinds), lambda k: k.isin("STRING", "VOID"))
 
 
+#: Fields of a raw document that must be texts, null or missing.
+TEXTS = ("id", "kaynak", "url", "text", "esas_no", "karar_no", "daire", "karar_tarihi", "mevzuat_no", "resmi_gazete_tarihi", "mevzuat_turu")
+
+
+def checked_payloads(payloads: DataFrame, payload: str = "value", sources: tuple[str, ...] = SOURCES) -> DataFrame:
+    """JSON payloads as raw documents, with the payload, its other columns, and why it is invalid (null where valid).
+
+    What is no JSON object, and fields of another type, are found before missing fields and unknown sources.
+    Columns of the payload's table must not be named as fields of a document.
+    """
+    kind = F.schema_of_variant(F.try_parse_json(F.col(payload)))
+    shape = F.when(~F.coalesce(F.startswith(kind, F.lit("OBJECT")), F.lit(False)), "not a JSON object").when(~strict_texts(F.col(payload), list(TEXTS)), "a field is not a text")
+    parsed = payloads.select("*", shape.alias("_shape"), F.from_json(payload, RAW_DOCUMENT).alias("_d"))
+    fields = parsed.select(*payloads.columns, "_shape", "_d.*")
+    return fields.withColumn(ERROR_FIELD, F.coalesce("_shape", problem(sources))).drop("_shape")
+
+
 def rows_of(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     """Rows of search responses with their totals; responses without rows give one row of nulls."""
     parsed = payloads.withColumn("_r", F.from_json(payload, ENVELOPE))

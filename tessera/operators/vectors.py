@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.config import Vectors
 from tessera.operators.resume import first_of_each
-from tessera.session import path_exists
+from tessera.session import materialize, path_exists
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -27,14 +29,27 @@ def vector_records(rows: DataFrame, vector: str = "embedding", size: int = Vecto
     return rows.where(F.size(vector) == size)
 
 
-def nearest(rows: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """query_id, the k nearest by dot product with their rank; ties by id. ``queries`` is a stated, small set.
+#: Queries that are compared at once; their vectors are broadcast.
+BLOCK = 4096
+
 
-    Scores are ranked per query; ranks are limited before the shuffle, so a task sends k rows per query.
+def nearest(rows: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vector: str = "embedding", block: int = BLOCK) -> DataFrame:
+    """query_id, the k nearest by dot product with their rank; ties by id. ``queries`` is a stated set.
+
+    A query id is asked once, with the least of its vectors if it has several. Queries are counted and taken in
+    blocks of about ``block``, of which one at a time is broadcast; each block reads the rows once. Ranks are limited before
+    the shuffle, so a task sends k rows per query.
     """
-    from pyspark.sql import Window
+    named = queries.where(F.col(key).isNotNull()).select(F.col(key).alias("query_id"), F.col(vector).alias("_q"))
+    asked = first_of_each(named, "query_id", [F.col("_q")])
+    blocks = max(1, -(-named.count() // block))
+    if blocks > 1:
+        asked = materialize(asked, "queries")
+    parts = [asked if blocks == 1 else asked.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == i) for i in range(blocks)]
+    return reduce(DataFrame.unionByName, [_nearest(rows, part, k, key, vector) for part in parts])
+
 
-    asked = queries.select(F.col(key).alias("query_id"), F.col(vector).alias("_q"))
+def _nearest(rows: DataFrame, asked: DataFrame, k: int, key: str, vector: str) -> DataFrame:
     score = F.round(dot(F.col(vector), F.col("_q")), 6)
     met = rows.join(F.broadcast(asked), F.col(key) != F.col("query_id")).select("query_id", F.col(key).alias("neighbour_id"), score.alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "neighbour_id"))

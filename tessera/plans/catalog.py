@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.config import CHUNKED_TOPIC, SOURCES, Chunking, Seen
+from tessera.config import CHUNKED_TOPIC, ERROR_FIELD, SOURCES, Chunking, Seen
 from tessera.functions import dates, html, keys
 from tessera.functions import text as text_fn
 from tessera.operators import chunk, dedup, normalize, publish, resume, search, status, throttle, vectors
@@ -492,6 +492,24 @@ def validate_split(spark, d):
     return valid.select("id", F.lit(True).alias("valid")).unionByName(invalid.select("id", F.lit(False).alias("valid")))
 
 
+_PAYLOAD_SQL = """SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN 'a field is not a text' WHEN 1 THEN 'kaynak is not a known source' WHEN 2 THEN 'url is missing' WHEN 3 THEN 'not a JSON object'
+  WHEN 4 THEN 'not a JSON object' END AS error, CASE WHEN doc_id % 6 = 5 THEN length(text) END AS n FROM documents"""
+
+
+@_query("payload_validate", _PAYLOAD_SQL)
+def payload_validate(spark, d):
+    """Payloads with a number in a text field, an unknown source, no address, no object, or cut off, and good ones."""
+    n = F.col("doc_id") % 6
+    number = F.when(n == 0, F.col("doc_id"))
+    fields = F.struct(
+        F.col("doc_id").cast("string").alias("id"), F.when(n == 1, "unknown").otherwise("danistay").alias("kaynak"), F.when(n != 2, "https://h").alias("url"), "text", number.alias("esas_no")
+    )
+    whole = F.to_json(fields)
+    payload = F.when(n == 3, F.concat(F.lit("["), whole, F.lit("]"))).when(n == 4, F.left(whole, F.length(whole) - 1)).otherwise(whole)
+    checked = normalize.checked_payloads(table(spark, d, "documents").select("doc_id", payload.alias("value")))
+    return checked.select("doc_id", F.col(ERROR_FIELD).alias("error"), F.when(F.col(ERROR_FIELD).isNull(), F.length("text").cast("long")).alias("n"))
+
+
 @_query("dlq_rows", f"{_CHECKED} SELECT 'legal.dlq' AS topic, CAST(NULL AS VARCHAR) AS key, id, {_ERROR} AS error FROM bad WHERE {_ERROR} IS NOT NULL")
 def dlq_rows(spark, d):
     rows = publish.dead_letters(normalize.split_valid(_spoiled(spark, d))[1])

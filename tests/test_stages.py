@@ -4,8 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.config import Topics
-from tessera.operators import resume, search, throttle
-from tessera.operators.vectors import VectorStore
+from tessera.operators import normalize, resume, search, throttle
+from tessera.operators.vectors import VectorStore, nearest
 from tessera.session import AlreadyRunning, single_writer
 from tessera.sources import index, line_stream
 from tessera.streaming import topics
@@ -153,3 +153,22 @@ def test_a_second_writer_is_refused(spark, tmp_path):
                 pass
     with single_writer(spark, str(tmp_path)):
         pass
+
+
+def test_nearest_in_blocks_gives_the_rows_of_one_block(spark):
+    rows = spark.range(60).select(F.col("id").alias("vec_id"), F.array(F.sin("id"), F.cos("id")).cast("array<float>").alias("embedding"))
+    asked = rows.where("vec_id % 3 = 0").unionByName(rows.where("vec_id = 3"))
+    found = lambda n: sorted(tuple(r) for r in nearest(rows, asked, 4, block=n).select("query_id", "rank", "neighbour_id", "score").collect())
+    assert found(5) == found(100) and len(found(100)) == 80
+    assert nearest(rows, asked.limit(0), 4).count() == 0
+
+
+def test_payloads_are_checked_for_types_and_content(spark):
+    cases = {
+        '{"id": "1", "kaynak": "mevzuat", "url": "u", "text": "t"}': None, '{"id": "1", "kaynak": "mevzuat", "url": "u", "text": "t", "daire": true}': "a field is not a text",
+        '{"id": 1, "kaynak": "mevzuat", "url": "u", "text": "t"}': "a field is not a text", '{"id": "1", "kaynak": "x", "url": "u", "text": "t"}': "kaynak is not a known source",
+        '{"id": "1", "kaynak": "mevzuat", "url": "u", "text": null}': "text is missing", "[1]": "not a JSON object", "": "not a JSON object", "{": "not a JSON object", None: "not a JSON object",
+        '{"kaynak": "mevzuat", "url": "u", "text": "t"}': "id is missing",
+    }
+    got = normalize.checked_payloads(spark.createDataFrame([(c,) for c in cases], "value string")).collect()
+    assert {r["value"]: r["_dlq_error"] for r in got} == cases
