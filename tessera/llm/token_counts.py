@@ -3,7 +3,8 @@
 The vocabulary is a byte trie. Every node carries a failure link and the number of pieces that greedy
 longest match is then sure of; both are computed beforehand. A word is read once, byte by byte: where
 a node has no child for the byte, its sure pieces are counted and the failure link followed. No piece
-is ever built. Distinct words of a batch are read in lock-step, and each batch counts a word once.
+is ever built. Distinct words of a batch are read in lock-step, but for the ends of the few longest, and each
+batch counts a word once.
 
 A text's words are its runs without ASCII white space, each taken with one leading space, as byte-level
 vocabularies hold them. The vocabulary must hold every single byte, as byte-level ones do, so greedy
@@ -25,6 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: While more words than this go on, they are read in lock-step; the rest of the longest ones is read word by word.
+FEW = 64
+
+
 def byte_of_symbol() -> dict[str, int]:
     """Byte-level vocabularies write printable Latin-1 bytes as themselves and the others from U+0100 on."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -75,6 +80,7 @@ class LongestMatch:
         edges = sorted((u * 256 + b, v) for u, c in enumerate(children) for b, v in c.items())
         self.keys, self.targets = (np.array(x, dtype=np.int64) for x in zip(*edges))
         self.fail, self.sure = np.array(fail, dtype=np.int64), np.array(sure, dtype=np.int64)
+        self.edges, self.fails, self.sures = dict(edges), fail, sure
 
     def _child(self, nodes: np.ndarray, byte: np.ndarray) -> np.ndarray:
         want = nodes * 256 + byte
@@ -82,6 +88,15 @@ class LongestMatch:
         at[at == len(self.keys)] = 0
         return np.where(self.keys[at] == want, self.targets[at], -1)
 
+    def _read_on(self, node: int, rest: bytes) -> tuple[int, int]:
+        """The node after ``rest`` is read from ``node``, and the pieces counted on the way."""
+        child, pieces = self.edges.get, 0
+        for byte in rest:
+            while (to := child(node * 256 + byte)) is None:
+                pieces, node = pieces + self.sures[node], self.fails[node]
+            node = to
+        return node, pieces
+
     def counts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Pieces of each word data[offsets[i]:offsets[i+1]], each after one space; empty words have none."""
         lengths = np.diff(offsets)
@@ -93,6 +108,12 @@ class LongestMatch:
         nodes[:live] = self._child(nodes[:live], np.full(live, 0x20))
         for i in range(int(lengths[0]) if len(lengths) else 0):
             live = int(np.searchsorted(-lengths, -i, side="left"))
+            if live <= FEW:
+                for row in range(live):
+                    rest = data[starts[row] + i : starts[row] + lengths[row]].tobytes()
+                    nodes[row], more = self._read_on(int(nodes[row]), rest)
+                    pieces[row] += more
+                break
             byte = data[starts[:live] + i].astype(np.int64)
             rows = np.arange(live)
             while len(rows):

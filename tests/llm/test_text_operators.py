@@ -78,8 +78,9 @@ def test_contamination_of_empty_tables(spark):
 
 def _greedy(word: bytes, vocabulary: set[bytes]) -> int:
     at = n = 0
+    most = max(map(len, vocabulary))
     while at < len(word):
-        at = next(e for e in range(len(word), at, -1) if word[at:e] in vocabulary)
+        at = next(e for e in range(min(len(word), at + most), at, -1) if word[at:e] in vocabulary)
         n += 1
     return n
 
@@ -93,6 +94,26 @@ def test_longest_match_against_greedy_search():
     assert counts.tolist() == [_greedy(b" " + w, vocabulary) if w else 0 for w in words]
 
 
+@pytest.mark.parametrize("few", [0, 3, 64])
+def test_long_words_against_greedy_search(monkeypatch, few):
+    monkeypatch.setattr(token_counts, "FEW", few)
+    rng = random.Random(6)
+    vocabulary = {bytes([b]) for b in range(256)} | {bytes(rng.choice(b"ab ") for _ in range(rng.randint(2, 9))) for _ in range(40)}
+    automaton = token_counts.LongestMatch(sorted(vocabulary))
+    words = [bytes(rng.choices(b"abc", k=n)) for n in (0, 1, 5, 40_000, 40_000, 3, 17, 20_001)]
+    counts = automaton.counts(np.frombuffer(b"".join(words), np.uint8), np.append(0, np.cumsum([len(w) for w in words])))
+    assert counts.tolist() == [_greedy(b" " + w, vocabulary) if w else 0 for w in words]
+
+
+def test_a_text_that_is_one_word_of_four_million_bytes(spark):
+    path = public_tokenizer("byte_bpe_50k.json")
+    word = "".join(random.Random(7).choices("abcdefghij0123456789", k=100_000))
+    vocabulary = set(token_counts.byte_vocabulary(path))
+    docs = [(1, word * 40), (2, word)]
+    got = {r["doc_id"]: (r["n_bytes"], r["n_words"], r["n_pieces"]) for r in token_counts.count_tokens(_docs(spark, docs), path).collect()}
+    assert got[2] == (100_000, 1, _greedy(b" " + word.encode(), vocabulary)) and got[1][:2] == (4_000_000, 1) and got[1][2] > 39 * got[2][2]
+
+
 def test_token_counts_of_documents(spark):
     path = public_tokenizer("byte_bpe_50k.json")
     vocabulary = set(token_counts.byte_vocabulary(path))
