@@ -540,12 +540,15 @@ def _keyed(spark, d):
     return rows, rows.where("line_no % 3 = 0").select("key").distinct()
 
 
-@_query("dedup_against_seen", f"{_FIRST}, {_SEEN} SELECT key, id FROM ranked WHERE r = 1 AND key NOT IN (SELECT key FROM seen)")
+_UNSEEN = f"{_FIRST}, {_SEEN} SELECT key, id FROM ranked WHERE r = 1 AND key NOT IN (SELECT key FROM seen)"
+
+
+@_query("dedup_against_seen", _UNSEEN)
 def dedup_against_seen(spark, d):
     return dedup.unseen(*_keyed(spark, d), "key", [F.col("line_no")]).select("key", "id")
 
 
-@_query("bloom_dedup")
+@_query("bloom_dedup", _UNSEEN)
 def bloom_dedup(spark, d):
     return dedup.probably_unseen(*_keyed(spark, d), "key", [F.col("line_no")], Seen()).select("key", "id")
 
