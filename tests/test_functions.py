@@ -117,6 +117,11 @@ def test_pages_by_hand(spark):
     assert frame.where("i = 6").select(html.page_text(F.col("html"))).first()[0] == pages[6][1]
 
 
+@pytest.mark.parametrize("page, want", [("<p>a = &quot</p><p>b</p>", 'a = "\nb'), ("<p>&lt</p>", "<"), ("<p>x &quo</p>", "x &quo"), ("<p>x &am</p>", "x &am"), ("<p>&amp</p>", "&")])
+def test_entities_that_are_cut_off_at_a_text_s_end(page, want):
+    assert html.dom_text(page) == want
+
+
 def test_words_with_regex_signs(spark):
     rows = spark.createDataFrame([(r"a\Eb (c)",), ("aEb c",)], "t string")
     assert [r[0] for r in rows.select(text.has_words(F.col("t"), [r"a\Eb"])).collect()] == [True, False]
