@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tessera.config import Vectors
+from tessera.operators import neighbours
 from tessera.operators.resume import first_of_each
-from tessera.session import materialize, path_exists
+from tessera.session import materialize, path_exists, scratch_path
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -29,33 +31,46 @@ def vector_records(rows: DataFrame, vector: str = "embedding", size: int = Vecto
     return rows.where(F.size(vector) == size)
 
 
-#: Queries that are compared at once; their vectors are broadcast.
+#: Queries that are compared at once; their vectors are sent to every task.
 BLOCK = 4096
+#: Rows that a task compares with a block of queries.
+TASK_ROWS = 1 << 16
 
 
 def nearest(rows: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vector: str = "embedding", block: int = BLOCK) -> DataFrame:
     """query_id, the k nearest by dot product with their rank; ties by id. ``queries`` is a stated set.
 
     A query id is asked once, with the least of its vectors if it has several. Queries are counted and taken in
-    blocks of about ``block``, of which one at a time is broadcast; each block reads the rows once. Ranks are limited before
-    the shuffle, so a task sends k rows per query.
+    blocks of about ``block``, of which the driver holds one at a time; each block reads the rows once, in
+    tasks of about ``TASK_ROWS`` rows. All pairs are compared, by ``neighbours``; a task sends about k rows per query.
     """
-    named = queries.where(F.col(key).isNotNull()).select(F.col(key).alias("query_id"), F.col(vector).alias("_q"))
+    named = queries.where(F.col(key).isNotNull()).select(F.col(key).alias("query_id"), F.col(vector).cast("array<double>").alias("_q"))
     asked = first_of_each(named, "query_id", [F.col("_q")])
     blocks = max(1, -(-named.count() // block))
-    if blocks > 1:
-        asked = materialize(asked, "queries")
-    parts = [asked if blocks == 1 else asked.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == i) for i in range(blocks)]
-    return reduce(DataFrame.unionByName, [_nearest(rows, part, k, key, vector) for part in parts])
-
-
-def _nearest(rows: DataFrame, asked: DataFrame, k: int, key: str, vector: str) -> DataFrame:
-    score = F.round(dot(F.col(vector), F.col("_q")), 6)
-    met = rows.join(F.broadcast(asked), F.col(key) != F.col("query_id")).select("query_id", F.col(key).alias("neighbour_id"), score.alias("score"))
+    some = rows.where(F.col(key).isNotNull()).select(F.col(key).alias("neighbour_id"), F.col(vector).cast("array<double>").alias("_v"))
+    tasks = -(-some.count() // TASK_ROWS)
+    if tasks > 1:
+        some = some.repartition(tasks)
+    if blocks == 1:
+        met = _compared(some, asked, k)
+    else:
+        asked, path = materialize(asked, "queries"), scratch_path(rows.sparkSession, "nearest")
+        for i in range(blocks):
+            met = _compared(some, asked.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == i), k)
+            met.write.mode("append").parquet(path)
+        met = rows.sparkSession.read.schema(met.schema).parquet(path)
+    met = met.select("query_id", "neighbour_id", F.round("score", 6).alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "neighbour_id"))
     return met.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
+def _compared(some: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    block = asked.select("query_id", "_q").toArrow().combine_chunks()
+    made = StructType([asked.schema["query_id"], some.schema["neighbour_id"], StructField("score", DoubleType())])
+    ids, vectors = (c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in block.columns)
+    return some.mapInArrow(neighbours.compared(ids, vectors, k, to_arrow_schema(made)), made)
+
+
 class VectorStore:
     """Vectors by collection and key, in a folder that driver and executors share.
 

@@ -1,11 +1,14 @@
 """Consumers, the vector store, saved throttle state, attempts, line ordinals, and the single writer."""
 
+import math
+
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessera.config import Topics
-from tessera.operators import normalize, resume, search, throttle
-from tessera.operators.vectors import VectorStore, nearest
+from tessera.operators import normalize, resume, search, throttle, vectors
+from tessera.operators.vectors import VectorStore, dot, nearest
 from tessera.session import AlreadyRunning, single_writer
 from tessera.sources import index, line_stream
 from tessera.streaming import topics
@@ -172,3 +175,34 @@ def test_payloads_are_checked_for_types_and_content(spark):
     }
     got = normalize.checked_payloads(spark.createDataFrame([(c,) for c in cases], "value string")).collect()
     assert {r["value"]: r["_dlq_error"] for r in got} == cases
+
+
+def test_nearest_gives_the_rows_of_the_plain_comparison(spark, monkeypatch):
+    """Copies, repeated ids, near ties, and vectors that are null, short, not finite or huge, against the plain expression; rows in many tasks."""
+    nan, inf = float("nan"), float("inf")
+    made = [(i, [math.sin(i * j + 1) for j in range(8)]) for i in range(400)] + [(i, [0.5] * 8) for i in range(400, 700)] + [(i, [0.5 + (i % 7) * 1e-8] * 8) for i in range(700, 800)]
+    odd = [None, [], [1.0], [1.0] * 7 + [None], [nan] * 8, [inf] * 8, [-inf] + [0.0] * 7, [1e200] * 8, [-1e200] * 4 + [1e200] * 4, [0.0] * 8, [-0.0] * 8]
+    made += [(900 + i, v) for i, v in enumerate(odd)] + [(10, [0.5] * 8)] * 9 + [(None, [1.0] * 8)]
+    rows = spark.createDataFrame(made, "vec_id long, embedding array<double>").repartition(3)
+    asked = rows.where("vec_id % 20 = 0 or vec_id >= 900")
+    for k in (1, 4):
+        first = asked.groupBy(F.col("vec_id").alias("query_id")).agg(F.min("embedding").alias("_q"))
+        met = rows.join(first, F.col("vec_id") != F.col("query_id")).select("query_id", F.col("vec_id").alias("n"), F.round(dot(F.col("embedding"), F.col("_q")), 6).alias("score"))
+        ranked = met.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "n"))).where(F.col("rank") <= k)
+        want = sorted(map(str, ranked.select("query_id", "rank", "n", "score").collect()))
+        for task, block in ((1 << 16, 4096), (100, 7)):
+            monkeypatch.setattr(vectors, "TASK_ROWS", task)
+            got = nearest(rows, asked, k, block=block).select("query_id", "rank", F.col("neighbour_id").alias("n"), "score").collect()
+            assert sorted(map(str, got)) == want
+
+
+def test_nearest_compares_blocks_without_a_row_per_pair(spark):
+    rows = spark.range(3000).select(F.col("id").alias("vec_id"), F.array(F.sin("id"), F.cos("id")).alias("embedding"))
+    plan = nearest(rows, rows.where("vec_id % 3 = 0"), 4)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_nearest_takes_ids_of_text(spark):
+    rows = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [1.0, 0.0]), ("c", [0.5, 0.0]), ("d", None)], "vec_id string, embedding array<float>")
+    got = nearest(rows, rows.where("vec_id in ('a', 'c')"), 3).orderBy("query_id", "rank").collect()
+    assert [(r["query_id"], r["neighbour_id"], r["score"]) for r in got] == [("a", "b", 1.0), ("a", "c", 0.5), ("a", "d", None), ("c", "a", 0.5), ("c", "b", 0.5), ("c", "d", None)]
