@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -32,24 +32,59 @@ def read_from(path: str, start: int, end: int) -> bytes:
         return f.read(end - start)
 
 
-def save_each(rows: DataFrame, folder: str, suffix: str, key: str = "id", content: str = "page") -> DataFrame:
+#: Files in a numbered folder, about; a task writes or reads one folder.
+PER_FOLDER = 2000
+
+
+def save_each(rows: DataFrame, folder: str, suffix: str, key: str = "id", content: str = "page", spread: bool = False) -> DataFrame:
     """Write one file per row, named by the percent-encoded key; returns key and bytes of each file written.
 
     Rows whose key is null, or whose content is null or empty, give no file. The folder must be shared with
     the executors. A task that runs again overwrites its own files, so the files follow from the rows alone.
-    The files are written when the result is read.
+    The files are written when the result is read. With ``spread``, which is for many rows, the rows with a key are counted
+    and dealt by their keys, so that a task writes about ``PER_FOLDER`` files, to a folder of its own inside.
     """
 
     def run(batches):
         system, p = open_path(folder)
-        system.create_dir(p, recursive=True)
+        made = set()
         for b in batches:
             sizes = []
-            for k, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                with system.open_output_stream(f"{p}/{quote(k, safe='')}{suffix}") as f:
+            for k, raw, inside in zip(*(c.to_pylist() for c in b.columns)):
+                at = p if inside is None else f"{p}/{inside}"
+                if at not in made:
+                    system.create_dir(at, recursive=True)
+                    made.add(at)
+                with system.open_output_stream(f"{at}/{quote(k, safe='')}{suffix}") as f:
                     f.write(raw)
                 sizes.append(len(raw))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64())], names=["key", "bytes"])
 
-    some = rows.select(F.col(key).cast("string").alias("key"), F.col(content).cast("binary").alias("raw")).where("key is not null and octet_length(raw) > 0")
+    named = rows.where(F.col(key).isNotNull()).select(F.col(key).cast("string").alias("key"), F.col(content).cast("binary").alias("raw"))
+    inside = F.lit(None).cast("int")
+    if spread:
+        n = max(1, -(-named.count() // PER_FOLDER))
+        named, inside = named.repartition(n, "key"), F.pmod(F.hash("key"), F.lit(n))  # the partition's number
+    some = named.select("key", "raw", inside.alias("inside")).where("octet_length(raw) > 0")
     return some.mapInArrow(run, "key string, bytes long")
+
+
+def read_each(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
+    """key and raw bytes of the files that ``save_each`` spread in a folder, a task for each folder inside; none if there is no such folder."""
+    system, p = open_path(folder)
+    inside = sorted(int(i.base_name) for i in system.get_file_info(fs.FileSelector(p, allow_not_found=True)) if i.type == fs.FileType.Directory and i.base_name.isdigit())
+
+    def run(batches):
+        system, p = open_path(folder)
+        for b in batches:
+            for i in b.column(0).to_pylist():
+                names = [x.path for x in system.get_file_info(fs.FileSelector(f"{p}/{inside[i]}")) if x.base_name.endswith(suffix)]
+                for start in range(0, len(names), 64):
+                    part, raw = names[start : start + 64], []
+                    for name in part:
+                        with system.open_input_stream(name) as f:
+                            raw.append(f.read())
+                    keys = [unquote(name.rpartition("/")[2][: len(name.rpartition("/")[2]) - len(suffix)]) for name in part]
+                    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(raw, pa.binary())], names=["key", "raw"])
+
+    return spark.range(0, len(inside), 1, max(1, len(inside))).mapInArrow(run, "key string, raw binary")

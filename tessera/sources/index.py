@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.schemas import INDEX_ROW
-from tessera.sources.files import exists
+from tessera.sources.files import exists, read_each
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
@@ -37,8 +37,10 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     return at.join(placed, ["_file", "_from"]).select((F.col("_before") + F.col("_id") - F.col("_first")).alias("line_no"), F.make_valid_utf8("value").alias("value"))
 
 
-def read_texts(spark: SparkSession, path: str) -> DataFrame:
-    """id (the file's name without .txt) and text of whole files; invalid UTF-8 becomes U+FFFD."""
+def read_texts(spark: SparkSession, path: str, spread: bool = False) -> DataFrame:
+    """id (the file's name without .txt) and text of whole files; invalid UTF-8 becomes U+FFFD. ``spread``: as ``save_each`` spread them."""
+    if spread:
+        return read_each(spark, path, ".txt").select(F.col("key").alias("id"), F.make_valid_utf8(F.col("raw").cast("string")).alias("text"))
     files = spark.read.text(path, wholetext=True)
     name = F.element_at(F.split("_metadata.file_path", "/"), -1)
     return files.select(F.regexp_replace(F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))), r"\.txt$", "").alias("id"), F.make_valid_utf8("value").alias("text"))

@@ -56,6 +56,22 @@ def test_files_of_their_own(spark, tmp_path):
     assert {f.name: f.read_text(encoding="utf-8") for f in (tmp_path / "out").iterdir()} == {"7.html": "é\n", "a%2Fb.html": "x"}
 
 
+def test_many_files_are_spread_over_folders_and_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "PER_FOLDER", 20)
+    made = [(f"k/{i} +%ü", f"é{i}\n".encode() + b"\xff") for i in range(400)]
+    rows = spark.createDataFrame(made + [("8", b""), ("9", None), (None, b"y")], "id string, page binary").coalesce(1)
+    for _ in range(2):  # again: the same files
+        got = files.save_each(rows, f"file://{tmp_path}/out", ".txt", spread=True).withColumn("task", F.spark_partition_id()).collect()
+        assert sorted((r["key"], r["bytes"]) for r in got) == sorted((k, len(v)) for k, v in made)
+    inside = {f.name: len(list(f.iterdir())) for f in (tmp_path / "out").iterdir()}
+    assert len(inside) == len({r["task"] for r in got}) >= 20 and max(inside.values()) <= 45 and sum(inside.values()) == 400
+    read = files.read_each(spark, f"file://{tmp_path}/out", ".txt")
+    assert sorted((r["key"], bytes(r["raw"])) for r in read.collect()) == sorted(made) and read.rdd.getNumPartitions() == len(inside)
+    texts = index.read_texts(spark, f"file://{tmp_path}/out", spread=True).collect()
+    assert sorted((r["id"], r["text"]) for r in texts) == sorted((k, v.decode("utf-8", "replace")) for k, v in made)
+    assert files.read_each(spark, f"file://{tmp_path}/none", ".txt").count() == 0
+
+
 def test_envelopes(spark):
     rows = spark.createDataFrame([(1, '{"data": {"data": [{"id": 7}], "recordsTotal": 1}}'), (2, "{}"), (3, "broken"), (4, None)], "page int, payload string")
     got = [(r["page"], r["records_total"], r["id"]) for r in rows_of(rows).orderBy("page").collect()]
