@@ -32,6 +32,27 @@ def read_from(path: str, start: int, end: int) -> bytes:
         return f.read(end - start)
 
 
+def join_parts(spark: SparkSession, folder: str, file: str) -> None:
+    """Append a folder's part files to a new file, in the order of their names, each deleted once it is copied.
+
+    One file has one writer: the driver copies, 1 MB at a time, whatever the file system.
+    """
+    to, io = spark._jvm.org.apache.hadoop.fs.Path(file), spark._jvm.org.apache.hadoop.io.IOUtils
+    system = to.getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = sorted((s.getPath() for s in system.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/part-*"))), key=lambda p: p.getName())
+    out = system.create(to, True)
+    try:
+        for part in parts:
+            read = system.open(part)
+            try:
+                io.copyBytes(read, out, 1 << 20, False)
+            finally:
+                read.close()
+            system.delete(part, False)
+    finally:
+        out.close()
+
+
 #: Files in a numbered folder, about; a task writes or reads one folder.
 PER_FOLDER = 2000
 

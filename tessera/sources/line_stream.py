@@ -31,6 +31,8 @@ class GrowingLines(DataSource):
 class LineReader(SimpleDataSourceStreamReader):
     #: Bytes looked at in one batch at most; the next batch takes up where it ends.
     MOST = 64 << 20
+    #: Bytes read at once.
+    STEP = 4 << 20
 
     def __init__(self, path: str, most: int, start: int):
         self.path, self.most, self.start = path, most, start
@@ -45,14 +47,21 @@ class LineReader(SimpleDataSourceStreamReader):
         return whole.split(b"\n")[:-1], start["byte"] + len(whole)
 
     def read(self, start: dict):
-        end, most = size(self.path), self.MOST
-        lines, after = self._lines(start, min(end, start["byte"] + most))
-        while not lines and start["byte"] + most < end:  # a line longer than the limit
-            most *= 2
-            lines, after = self._lines(start, min(end, start["byte"] + most))
-        if self.most and len(lines) > self.most:
+        end, at, lines, rest = size(self.path), start["byte"], [], []
+        while at < end and not (lines and (at - start["byte"] >= self.MOST or 0 < self.most <= len(lines))):  # a line may be longer than the limit
+            raw = read_from(self.path, at, min(end, at + self.STEP))
+            if not raw:
+                break
+            at += len(raw)
+            cut = raw.rfind(b"\n")
+            if cut < 0:
+                rest.append(raw)
+                continue
+            lines += b"".join([*rest, raw[:cut]]).split(b"\n")
+            rest = [raw[cut + 1 :]]
+        if self.most:
             lines = lines[: self.most]
-            after = start["byte"] + sum(len(x) + 1 for x in lines)
+        after = start["byte"] + sum(map(len, lines)) + len(lines)
         return iter(self._rows(start["line"], lines)), {"line": start["line"] + len(lines), "byte": after}
 
     def readBetweenOffsets(self, start: dict, end: dict):
@@ -70,15 +79,24 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(GrowingLines)
 
 
+def _batches(spark: SparkSession, checkpoint: str) -> int:
+    """The batches that a stream has committed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits/*")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return max((int(f.getPath().getName()) + 1 for f in found or [] if f.getPath().getName().isdigit()), default=0)
+
+
 def drain(lines: Callable[[], DataFrame], out: str, checkpoint: str) -> int:
     """Write a stream of a growing file to Parquet until it has nothing new; returns the batches run.
 
-    Spark takes one batch of such a source for all there is now, so it is started again while it moves on.
+    Spark takes one batch of such a source for all there is now, so the query goes on, without a trigger that
+    ends it, until a look finds nothing.
     """
-    runs = 0
-    while True:
-        query = lines().writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out)
-        query.awaitTermination()
-        if not any(p["numInputRows"] or p["sources"][0]["startOffset"] != p["sources"][0]["endOffset"] for p in query.recentProgress):
-            return runs
-        runs += 1
+    rows = lines()
+    before = _batches(rows.sparkSession, checkpoint)
+    query = rows.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(processingTime="0 seconds").start(out)
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return _batches(rows.sparkSession, checkpoint) - before

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from tessera.config import Topics
 from tessera.operators import normalize, resume, search, throttle, vectors
 from tessera.operators.vectors import VectorStore, dot, nearest
+from tessera.plans import catalog
 from tessera.session import AlreadyRunning, single_writer
-from tessera.sources import index, line_stream
+from tessera.sources import files, index, line_stream
 from tessera.streaming import topics
 
 
@@ -149,6 +150,46 @@ def test_a_file_of_lines_is_drained_in_limited_batches(spark, tmp_path):
     assert have() == [(i, f"l{i}") for i in range(5, 11)]
 
 
+def test_a_file_of_lines_is_drained_by_one_query(spark, tmp_path):
+    file, out, state = tmp_path / "l", str(tmp_path / "out"), str(tmp_path / "state")
+    file.write_text("".join(f"l{i}\n" for i in range(10)))
+    line_stream.register(spark)
+    started = []
+    lines = lambda: started.append(1) or spark.readStream.format("growing_lines").option("path", str(file)).option("maxLinesPerBatch", 4).load()
+    assert line_stream.drain(lines, out, state) == 3 and len(started) == 1
+    assert line_stream.drain(lines, out, state) == 0
+    assert sorted(r["line_no"] for r in spark.read.parquet(out).collect()) == list(range(10))
+
+
+def test_a_batch_reads_little_more_than_its_lines(tmp_path, monkeypatch):
+    file, seen = tmp_path / "l", []
+    file.write_bytes(b"".join(b"%04d\n" % i for i in range(1000)) + b"x" * 999 + b"\nend")
+    plain = line_stream.read_from
+    monkeypatch.setattr(line_stream, "read_from", lambda path, s, e: seen.append(e - s) or plain(path, s, e))
+    reader, got, at = line_stream.LineReader(str(file), 30, 0), [], {"line": 0, "byte": 0}
+    reader.STEP = 100
+    for _ in range(99):
+        rows, after = reader.read(at)
+        rows = list(rows)
+        assert rows == list(reader.readBetweenOffsets(at, after))
+        got, at = got + rows, after
+    assert got == [(i, "%04d" % i) for i in range(1000)] + [(1000, "x" * 999)] and at == {"line": 1001, "byte": 6000}
+    assert max(seen[:2]) == 100
+
+
+def test_texts_become_lines_in_bounded_files_and_one_joined_file(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(catalog, "_LINES", 500)
+    rows = spark.range(300).select((299 - F.col("id")).alias("doc_id"), F.concat(F.lit("a\nb"), F.col("id").cast("string"), F.repeat(F.lit("x"), 40)).alias("text")).coalesce(1)
+    catalog._write_lines(rows, str(tmp_path / "p"), 1)
+    sizes = [f.stat().st_size for f in (tmp_path / "p").glob("part-*")]
+    assert len(sizes) >= 20 and max(sizes) < 2000
+    want = [f"a b{299 - i}" + "x" * 40 for i in range(300)]
+    numbered = index.numbered_lines(spark, str(tmp_path / "p"))
+    assert sorted((r["line_no"], r["value"]) for r in numbered.collect()) == list(enumerate(want))
+    files.join_parts(spark, f"file://{tmp_path}/p", f"file://{tmp_path}/p/lines")
+    assert (tmp_path / "p" / "lines").read_text().split("\n") == want + [""] and not list((tmp_path / "p").glob("part-*"))
+
+
 def test_a_second_writer_is_refused(spark, tmp_path):
     with single_writer(spark, str(tmp_path)):
         with pytest.raises(AlreadyRunning):
