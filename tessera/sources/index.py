@@ -25,8 +25,8 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """line_no (from 0, in the order of file names, then of lines) and value of text lines.
 
     A line's place is its place in its block of a file, plus the lines of all blocks before; only the
-    counts of blocks are put in order in one task, one row for each block that the scan reads. The files
-    must not change between the two scans.
+    counts of blocks are put in order in one task, one row for each block that the scan reads, and sent to
+    every task, so that no line is moved. The files must not change between the two scans.
     """
     at = spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_from"), F.monotonically_increasing_id().alias("_id")
@@ -34,7 +34,7 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     blocks = at.groupBy("_file", "_from").agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
     before = F.sum("_n").over(Window.orderBy("_file", "_from").rowsBetween(Window.unboundedPreceding, -1))
     placed = blocks.withColumn("_before", F.coalesce(before, F.lit(0))).drop("_n")
-    return at.join(placed, ["_file", "_from"]).select((F.col("_before") + F.col("_id") - F.col("_first")).alias("line_no"), F.make_valid_utf8("value").alias("value"))
+    return at.join(F.broadcast(placed), ["_file", "_from"]).select((F.col("_before") + F.col("_id") - F.col("_first")).alias("line_no"), F.make_valid_utf8("value").alias("value"))
 
 
 def read_texts(spark: SparkSession, path: str, spread: bool = False) -> DataFrame:

@@ -136,6 +136,17 @@ def test_line_ordinals_over_blocks_and_files(spark, tmp_path):
     assert got == list(enumerate(wanted + ["bad �"]))
 
 
+def test_numbering_moves_no_line(spark, tmp_path):
+    (tmp_path / "l").write_text("a\nb\n")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = index.numbered_lines(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_a_file_of_lines_is_drained_in_limited_batches(spark, tmp_path):
     file, out, state = tmp_path / "l", str(tmp_path / "out"), str(tmp_path / "state")
     file.write_text("".join(f"l{i}\n" for i in range(10)))
