@@ -53,7 +53,7 @@ def join_parts(spark: SparkSession, folder: str, file: str) -> None:
         out.close()
 
 
-#: Files in a numbered folder, about; a task writes or reads one folder.
+#: Files in a numbered folder, about; a task reads one folder, and writes five times as many files at most.
 PER_FOLDER = 2000
 
 
@@ -63,7 +63,8 @@ def save_each(rows: DataFrame, folder: str, suffix: str, key: str = "id", conten
     Rows whose key is null, or whose content is null or empty, give no file. The folder must be shared with
     the executors. A task that runs again overwrites its own files, so the files follow from the rows alone.
     The files are written when the result is read. With ``spread``, which is for many rows, the rows with a key are counted
-    and dealt by their keys, so that a task writes about ``PER_FOLDER`` files, to a folder of its own inside.
+    and their files lie in folders inside, about ``PER_FOLDER`` in each. Where a task has over five times as many rows, all
+    are dealt by their keys, so that each writes one folder; else their contents are not moved.
     """
 
     def run(batches):
@@ -84,8 +85,11 @@ def save_each(rows: DataFrame, folder: str, suffix: str, key: str = "id", conten
     named = rows.where(F.col(key).isNotNull()).select(F.col(key).cast("string").alias("key"), F.col(content).cast("binary").alias("raw"))
     inside = F.lit(None).cast("int")
     if spread:
-        n = max(1, -(-named.count() // PER_FOLDER))
-        named, inside = named.repartition(n, "key"), F.pmod(F.hash("key"), F.lit(n))  # the partition's number
+        total, most = named.groupBy(F.spark_partition_id()).count().agg(F.sum("count"), F.max("count")).first()
+        n = max(1, -(-(total or 0) // PER_FOLDER))
+        if (most or 0) > 5 * PER_FOLDER:
+            named = named.repartition(n, "key")
+        inside = F.pmod(F.hash("key"), F.lit(n))  # after that, the partition's number
     some = named.select("key", "raw", inside.alias("inside")).where("octet_length(raw) > 0")
     return some.mapInArrow(run, "key string, bytes long")
 

@@ -65,6 +65,8 @@ def test_many_files_are_spread_over_folders_and_tasks(spark, tmp_path, monkeypat
         assert sorted((r["key"], r["bytes"]) for r in got) == sorted((k, len(v)) for k, v in made)
     inside = {f.name: len(list(f.iterdir())) for f in (tmp_path / "out").iterdir()}
     assert len(inside) == len({r["task"] for r in got}) >= 20 and max(inside.values()) <= 45 and sum(inside.values()) == 400
+    few = files.save_each(rows.limit(90), f"file://{tmp_path}/few", ".txt", spread=True)
+    assert few.count() == 90 and few.rdd.getNumPartitions() == 1 and len(list((tmp_path / "few").iterdir())) == 5
     read = files.read_each(spark, f"file://{tmp_path}/out", ".txt")
     assert sorted((r["key"], bytes(r["raw"])) for r in read.collect()) == sorted(made) and read.rdd.getNumPartitions() == len(inside)
     texts = index.read_texts(spark, f"file://{tmp_path}/out", spread=True).collect()
